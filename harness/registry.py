@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from harness import conforming, storing
+from harness import conforming, staging, storing
 
-MODULES = [conforming, storing]
+MODULES = [conforming, storing, staging]
 
 QUERIES = {name: function for module in MODULES for name, function in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
