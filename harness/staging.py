@@ -163,6 +163,13 @@ def geocoded_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RECORD_HASH = """sha256('{"email_norm":"' || email_norm || '","phone_norm":"' || phone_norm || '","first_name":"' || first_name
+  || '","last_name":"' || last_name || '"' || coalesce(',"addr_city":"' || addr_city || '"', '')
+  || coalesce(',"addr_region":"' || addr_region || '"', '')
+  || coalesce(',"geocoded_lat":' || geocoded_lat, '') || coalesce(',"geocoded_lon":' || geocoded_lon, '')
+  || '}')"""
+
+
 @query(
     f"""
     WITH {PLACES.strip()},
@@ -171,12 +178,13 @@ def geocoded_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
              '1' || c_custkey || c_nationkey AS phone_norm, c_name AS first_name, c_mktsegment AS last_name,
              CASE WHEN c_acctbal >= 0 THEN n_name END AS addr_city,
              CASE WHEN c_acctbal >= 0 THEN CAST(n_regionkey AS VARCHAR) END AS addr_region,
-             lat AS geocoded_lat, lon AS geocoded_lon, c_mktsegment, c_acctbal
+             lat AS geocoded_lat, lon AS geocoded_lon, c_mktsegment
       FROM customer JOIN nation ON c_nationkey = n_nationkey
       LEFT JOIN best ON c_acctbal >= 0 AND h = {ADDRESS_HASH})
     SELECT customer_id, email_norm, phone_norm, first_name, last_name, addr_city, addr_region,
            geocoded_lat, geocoded_lon, '2024-02-01 03:00:00' AS eff_from_ts,
-           '2024-02-01' AS load_date, 64 AS hash_length
+           '2024-02-01' AS load_date,
+           {RECORD_HASH} AS record_hash
     FROM located
     WHERE NOT (c_mktsegment = 'MACHINERY' AND geocoded_lat IS NULL)
     """
@@ -208,7 +216,7 @@ def cleansed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.select(
         "customer_id", "email_norm", "phone_norm", "first_name", "last_name", "addr_city", "addr_region",
         "geocoded_lat", "geocoded_lon", second_text("eff_from_ts").alias("eff_from_ts"),
-        text("load_date").alias("load_date"), F.length("record_hash").alias("hash_length"),
+        text("load_date").alias("load_date"), "record_hash",
     )
 
 

@@ -6,6 +6,8 @@ under the NULL partition and reported.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,13 +15,29 @@ DATE_TS_FORMATS = ("yyyyMMddHH", "yyyy-MM-dd-HH", "yyyyMMdd", "yyyy-MM-dd")
 DATE_FORMATS = ("yyyyMMdd", "yyyy-MM-dd")
 
 
+def shape_of(pattern: str) -> str:
+    """A regular expression for texts that a numeric date pattern could read.
+
+    A failed parse costs far more than this test, because it is an exception inside Spark; so a
+    pattern is tried only on text of its shape.
+    """
+    shape = ""
+    for quoted, letters, other in re.findall(r"'([^']*)'|([A-Za-z]+)|([^A-Za-z'])", pattern):
+        if letters:
+            run_lengths = [len(m.group()) for m in re.finditer(r"(.)\1*", letters)]
+            shape += "".join(r"\d{1,2}" if n == 1 else rf"\d{{{n}}}" for n in run_lengths)
+        else:
+            shape += re.escape(quoted or other)
+    return f"^{shape}$"
+
+
 def parse_timestamp(text: Column, formats: tuple[str, ...]) -> Column:
     """The first format that fits the text."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.when(text.rlike(shape_of(f)), F.try_to_timestamp(text, F.lit(f))) for f in formats])
 
 
 def parse_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
+    return F.coalesce(*[F.when(text.rlike(shape_of(f)), F.try_to_date(text, f)) for f in formats])
 
 
 def hour_from_text(date_ts: Column, formats: tuple[str, ...] = DATE_TS_FORMATS) -> Column:

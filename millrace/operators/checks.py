@@ -54,14 +54,14 @@ def column_drift(feed: DataFrame, contract: Contract) -> DataFrame:
     return _long_form(wide, names, "column_name", ["finding", "filled"])
 
 
-def record_drift(feed: DataFrame, by: list[str]) -> DataFrame:
-    """Per load: records, and records with too few, too many or unreadable fields.
-
-    The records are counted over all columns of the feed, since a text reader that is asked for
-    fewer columns does not look at the rest of a line.
-    """
+def record_drift(feed: DataFrame, contract: Contract, by: list[str]) -> DataFrame:
+    """Per load: records, records with too few, too many or unreadable fields, and among those the
+    ones whose last field stayed empty, which is how short records show."""
+    last = F.col(contract.delivered_columns.fieldNames()[-1])
     return feed.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("records"), F.count(BAD_RECORD).alias("malformed")
+        F.count(F.lit(1)).alias("records"),
+        F.count(BAD_RECORD).alias("malformed"),
+        F.count_if(F.col(BAD_RECORD).isNotNull() & last.isNull()).alias("short"),
     )
 
 
