@@ -88,7 +88,8 @@ def _bot_score() -> Column:
     per_minute = F.col("session_events").cast("decimal(20,0)") * F.lit(1000 * MICROS_PER_MINUTE).cast("decimal(11,0)")
     thousandths = F.call_function("div", per_minute, lasted.cast("decimal(20,0)"))
     capped = F.least(thousandths, F.lit(MAX_SCORE_THOUSANDTHS)).cast("decimal(4,0)")
-    return (capped * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(4,3)").cast(NUMERIC)
+    score = (capped * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(4,3)").cast(NUMERIC)
+    return F.when(F.col("session_events").isNotNull(), score)
 
 
 def _event(**columns: Column) -> list[Column]:
