@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harness.storing import _events_as_app
-from harness.tables import raw_shaped, second_text, table, text
-from millrace.contracts import RAW
+from harness.conforming import special_double
+from harness.storing import events_as_app
+from harness.tables import raw_shaped, second_text, shaped, table, text
+from millrace.contracts import RAW, STAGING
 from millrace.operators import checks
 from millrace.operators.layout import stored_table, write_table
 from millrace.session import scratch_path
@@ -168,7 +169,7 @@ def check_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def check_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract, path = RAW["mobile_events"], scratch_path(spark, "check_clusters")
-    write_table(_events_as_app(spark, sf_dir), path, contract)
+    write_table(events_as_app(spark, sf_dir), path, contract)
     report = checks.cluster_report(spark, path, contract)
     return report.select("partition_value", "overlapping", (F.col("files") > 0).alias("has_files"))
 
@@ -212,6 +213,54 @@ def check_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.row_differences(source, target).select("event_id", "event_type", "source_rows", "target_rows")
 
 
+@query(
+    """
+    SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS key_value, count(*) AS source_rows,
+           count(*) AS target_rows, true AS passed
+    FROM orders GROUP BY ALL
+    """
+)
+def check_numeric_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of up to 16 digits, of both signs, and nested ones with nine decimals."""
+    contract = RAW["supplier_invoices"]
+    price = F.col("o_totalprice").cast("decimal(15,2)")
+    signed = F.when(F.col("o_orderstatus") == "F", -price).otherwise(price)
+    line = F.struct(
+        text("o_custkey").alias("sku"),
+        F.lit(1).cast("bigint").alias("qty"),
+        (signed * F.lit("0.0000001").cast("decimal(8,7)")).cast("decimal(38,9)").alias("unit_price"),
+    )
+    invoices = raw_shaped(
+        table(spark, sf_dir, "orders"),
+        "supplier_invoices",
+        invoice_no=text("o_orderkey"),
+        total_amount=signed * F.lit(10**8).cast("decimal(9,0)") + F.lit("0.01").cast("decimal(3,2)"),
+        line_items=F.array(line),
+        feed_date=F.trunc("o_orderdate", "MONTH"),
+    )
+    return checks.round_trip_report(spark, invoices, scratch_path(spark, "numeric_round_trip"), contract)
+
+
+@query(
+    """
+    SELECT strftime(ts, '%Y-%m-%d') AS key_value, count(*) AS source_rows, count(*) AS target_rows, true AS passed
+    FROM events GROUP BY ALL
+    """
+)
+def check_double_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN, infinities, zeros of both signs, and numbers with all their digits."""
+    contract = STAGING["cleansed_customers"]
+    customers = shaped(
+        table(spark, sf_dir, "events"),
+        contract,
+        customer_id=text("event_id"),
+        geocoded_lat=special_double(),
+        geocoded_lon=F.col("value") / 3,
+        load_date=F.to_date("ts"),
+    )
+    return checks.round_trip_report(spark, customers, scratch_path(spark, "double_round_trip"), contract)
+
+
 @query(
     """
     SELECT 'casts' AS check_name, 11 AS passed, 3 AS failed

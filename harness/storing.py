@@ -209,7 +209,7 @@ LANDED = [name for name, c in RAW.items() if c.feed.format not in ("avro", "rcfi
 # Writers: the table is written, read back through its contract, and summed per stored partition.
 
 
-def _events_as_app(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_as_app(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_shaped(
         table(spark, sf_dir, "events"),
         "mobile_events",
@@ -243,7 +243,7 @@ def write_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract, path = RAW["mobile_events"], scratch_path(spark, "write_cluster")
-    write_table(_events_as_app(spark, sf_dir), path, contract)
+    write_table(events_as_app(spark, sf_dir), path, contract)
     kinds = F.countDistinct("platform").alias("platforms")
     marks = F.sum(F.try_variant_get("properties", "$.k", "bigint")).alias("k_sum")
     return _per_partition(spark, path, contract, kinds, marks)
@@ -328,7 +328,7 @@ def write_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of hours read back, with the bounds on both the key and the stored partition."""
     contract, path = RAW["mobile_events"], scratch_path(spark, "read_pruned")
-    write_table(_events_as_app(spark, sf_dir), path, contract)
+    write_table(events_as_app(spark, sf_dir), path, contract)
     read = read_table(spark, path, contract, datetime(2024, 1, 5, 6), datetime(2024, 1, 9))
     return read.select("event_id", "user_id", "platform", second_text("event_timestamp").alias("event_timestamp"))
 

@@ -11,7 +11,13 @@ from pyspark.sql import types as T
 from millrace.contracts import Contract
 from millrace.functions.numbers import is_infinite, is_negative_zero
 from millrace.operators.conform import BAD_RECORD, FAILED, Landing
-from millrace.operators.layout import partition_column, partition_value, stored_table
+from millrace.operators.layout import (
+    partition_column,
+    partition_value,
+    read_table,
+    stored_table,
+    write_table,
+)
 
 
 def _long_form(wide: DataFrame, names: list[str], label: str, measures: list[str]) -> DataFrame:
@@ -162,6 +168,13 @@ def row_differences(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+def round_trip_report(spark: SparkSession, df: DataFrame, path: str, contract: Contract) -> DataFrame:
+    """Store rows, read them back, and compare both sides per key value."""
+    declared = df.select(*contract.names)
+    write_table(declared, path, contract)
+    return parity_report(declared, read_table(spark, path, contract), contract.key.column)
+
+
 def precision_profile(df: DataFrame, names: list[str], precision: int, scale: int) -> DataFrame:
     """Per decimal column: values, and values that a narrower DECIMAL(precision, scale) would change."""
     narrow = f"decimal({precision},{scale})"

@@ -7,13 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def total_order(df: DataFrame, first: list[Column], descending: bool = True) -> list[Column]:
-    """``first``, then every remaining column that can be ordered, so that ties cannot depend on
-    how rows happen to be spread over tasks."""
-    rest = [F.col(f.name) for f in df.schema.fields if _orderable(f.dataType)]
-    variants = [F.to_json(F.col(f.name)) for f in df.schema.fields if isinstance(f.dataType, T.VariantType)]
-    tail = [c.desc_nulls_last() if descending else c.asc_nulls_first() for c in rest + variants]
-    return [*first, *tail]
+def total_order(
+    df: DataFrame, first: list[Column], known: list[str], descending: bool = True
+) -> list[Column]:
+    """``first``, then every other column that can be ordered, so that ties cannot depend on how
+    rows happen to be spread over tasks. ``known`` are columns that cannot break a tie: those in
+    ``first`` and the key itself."""
+    rest: list[Column] = []
+    for field in df.schema.fields:
+        if field.name in known:
+            continue
+        if isinstance(field.dataType, T.VariantType):
+            rest.append(F.to_json(F.col(field.name)))
+        elif _orderable(field.dataType):
+            rest.append(F.col(field.name))
+    return [*first, *[c.desc_nulls_last() if descending else c.asc_nulls_first() for c in rest]]
 
 
 def first_per_key(df: DataFrame, keys: list[Column], order: list[Column]) -> DataFrame:
@@ -29,7 +37,7 @@ def first_per_key(df: DataFrame, keys: list[Column], order: list[Column]) -> Dat
 
 def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str]) -> DataFrame:
     """The newest row of each key, by the given columns and then by all others."""
-    order = total_order(df, [F.col(c).desc_nulls_last() for c in newest_first])
+    order = total_order(df, [F.col(c).desc_nulls_last() for c in newest_first], [*newest_first, *keys])
     return first_per_key(df, [F.col(k) for k in keys], order)
 
 

@@ -15,8 +15,14 @@ from pyspark.sql import functions as F
 MICROS_PER_MINUTE = 60_000_000
 
 
+def slice_of(micros: Column, width: int) -> Column:
+    """The number of the time slice, in whole-number arithmetic that also holds before 1970."""
+    size = F.lit(width).cast("bigint")
+    return F.call_function("div", micros - F.pmod(micros, size), size)
+
+
 def slice_number(ts: Column, slice_minutes: int) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(slice_minutes * MICROS_PER_MINUTE)).cast("bigint")
+    return slice_of(F.unix_micros(ts), slice_minutes * MICROS_PER_MINUTE)
 
 
 def session_slices(

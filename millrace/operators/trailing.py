@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.sessions import MICROS_PER_MINUTE
+from millrace.operators.sessions import MICROS_PER_MINUTE, slice_of
 
 
 def trailing_summary(
@@ -59,10 +59,6 @@ def trailing_summary(
     )
 
 
-def _slice(at: Column, width: int) -> Column:
-    return F.floor(at / F.lit(width)).cast("bigint")
-
-
 def _end_pieces(probes: DataFrame, signals: DataFrame, span: int, width: int) -> DataFrame:
     """Running summaries inside the first and the last slice of each span.
 
@@ -81,7 +77,7 @@ def _end_pieces(probes: DataFrame, signals: DataFrame, span: int, width: int) ->
     happened = signals.select(
         "key", no_moment.alias("moment"), "at", F.lit(1).alias("turn"), "score", "code"
     )
-    rows = far.unionByName(near).unionByName(happened).withColumn("slice", _slice(F.col("at"), width))
+    rows = far.unionByName(near).unionByName(happened).withColumn("slice", slice_of(F.col("at"), width))
 
     group = Window.partitionBy("key", "slice")
     so_far = (Window.unboundedPreceding, Window.currentRow)
@@ -109,8 +105,8 @@ def _end_pieces(probes: DataFrame, signals: DataFrame, span: int, width: int) ->
 
 def _middle_piece(probes: DataFrame, signals: DataFrame, width: int, slices: int) -> DataFrame:
     """Summaries of the whole slices strictly between both ends of each span."""
-    asked = probes.select("key", _slice(F.col("at"), width).alias("slice")).distinct()
-    reduced = signals.groupBy("key", _slice(F.col("at"), width).alias("slice"), "code").agg(
+    asked = probes.select("key", slice_of(F.col("at"), width).alias("slice")).distinct()
+    reduced = signals.groupBy("key", slice_of(F.col("at"), width).alias("slice"), "code").agg(
         F.max("score").alias("score")
     )
     rows = asked.select(
@@ -126,7 +122,7 @@ def _middle_piece(probes: DataFrame, signals: DataFrame, width: int, slices: int
         F.collect_set("code").over(between).alias("codes"),
         F.max("is_event").over(between).alias("seen"),
     ).where(~F.col("is_event") & F.col("seen"))
-    located = probes.select("key", "moment", _slice(F.col("at"), width).alias("slice"))
+    located = probes.select("key", "moment", slice_of(F.col("at"), width).alias("slice"))
     return located.join(walked.drop("is_event"), ["key", "slice"]).select(
         "key", "moment", "score", "codes", "seen"
     )

@@ -35,6 +35,7 @@ def geocoded_addresses(customer_signups: DataFrame, candidates: DataFrame, load_
         "provider",
     ).where(F.col("raw_addr_hash").isNotNull())
     order = [F.col("confidence").desc_nulls_last(), F.col("provider").asc_nulls_last()]
-    best = first_per_key(found, [F.col("raw_addr_hash")], total_order(found, order))
+    order = total_order(found, order, ["confidence", "provider", "raw_addr_hash"])
+    best = first_per_key(found, [F.col("raw_addr_hash")], order)
     placed = addresses.join(best, "raw_addr_hash").withColumn("load_date", F.lit(load_date.isoformat()).cast("date"))
     return placed.select(*STAGING["geocoded_addresses"].names)

@@ -35,7 +35,10 @@ def dedup_clickstream(
     events = events.withColumn("_moment", moment)
     same_event = ["_visitor", "_moment", "_page"]
 
-    order = total_order(events, [F.col("event_ts").asc_nulls_first(), F.col("_given").asc_nulls_first()], False)
+    deciding = ["event_ts", "_given"]
+    order = total_order(
+        events, [F.col(c).asc_nulls_first() for c in deciding], [*deciding, *same_event], descending=False
+    )
     unique = first_per_key(events, [F.col(c) for c in same_event], order)
 
     # Which events survive, found again from the few columns that decide it, so that the sessions
@@ -43,7 +46,7 @@ def dedup_clickstream(
     survivors = (
         events.where(F.col("_visitor").isNotNull() & F.col("event_ts").isNotNull())
         .groupBy(*same_event)
-        .agg(F.min(F.struct("event_ts", "_given")).alias("_first"))
+        .agg(F.min(F.struct(*deciding)).alias("_first"))
         .select("_visitor", "_first.event_ts", "_first._given")
     )
     sessions = session_slices(
