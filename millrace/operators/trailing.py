@@ -9,8 +9,10 @@ into three pieces:
 * the whole slices between both ends;
 * the slice of ``moment - span``, after that time.
 
-The two end pieces are running windows inside (key, slice). The middle is a window over slices
-already reduced to one row per code, so its length depends on the clock and not on the row count.
+The two end pieces are running windows inside (key, slice). The whole slices are first reduced to
+one row per slice and code; between them, time is cut again into blocks as long as the span, and the
+same two running windows inside (key, block) give the rest. So no window holds more of a busy key
+than one slice of its rows, or one span of its slices.
 """
 
 from __future__ import annotations
@@ -33,7 +35,6 @@ def trailing_summary(
         raise ValueError("the span must be a whole number of slices")
     span = span_minutes * MICROS_PER_MINUTE
     width = slice_minutes * MICROS_PER_MINUTE
-    slices = span // width
 
     probes = (
         moments.where(F.col("key").isNotNull() & F.col("moment").isNotNull())
@@ -43,86 +44,84 @@ def trailing_summary(
     signals = events.where(F.col("key").isNotNull() & F.col("ts").isNotNull()).select(
         "key", F.unix_micros("ts").alias("at"), "score", F.explode_outer("codes").alias("code")
     )
+    # The last slice and the first, row by row. An event at the moment itself is inside the span.
+    ends = _both_ends(probes.select("key", "at"), signals, span, width, inside=True)
 
-    ends = _end_pieces(probes, signals, span, width)
-    middle = _middle_piece(probes, signals, width, slices)
-    return (
-        ends.unionByName(middle)
-        .groupBy("key", "moment")
+    # The whole slices before the moment's own, and after the one where the span begins.
+    slices = signals.groupBy("key", slice_of(F.col("at"), width).alias("at"), "code").agg(
+        F.max("score").alias("score")
+    )
+    asked = probes.select("key", slice_of(F.col("at"), width).alias("at")).distinct()
+    count = span // width
+    whole = _both_ends(asked, slices, count, count, inside=False)
+
+    located = probes.select("key", "at", slice_of(F.col("at"), width).alias("slice"))
+    between = located.join(whole.withColumnRenamed("at", "slice"), ["key", "slice"]).drop("slice")
+    summary = (
+        ends.unionByName(between)
+        .groupBy("key", "at")
         .agg(
             F.max("score").alias("score"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("codes")))).alias("codes"),
-            F.max("seen").alias("seen"),
         )
-        .where("seen")
-        .drop("seen")
     )
+    return summary.select("key", F.timestamp_micros("at").alias("moment"), "score", "codes")
 
 
-def _end_pieces(probes: DataFrame, signals: DataFrame, span: int, width: int) -> DataFrame:
-    """Running summaries inside the first and the last slice of each span.
+def _both_ends(probes: DataFrame, events: DataFrame, span: int, width: int, inside: bool) -> DataFrame:
+    """For each probe (key, at), two summaries: of the events in its own slice up to ``at``, and of
+    those in the slice of ``at - span`` after that time. Ends that hold no event give no row.
 
-    ``turn`` orders rows of equal time: 0 a probe at the far end, which must not see events of its
-    own time; 1 an event; 2 a probe at the near end, which must.
+    ``turn`` orders rows of equal time. A probe that must not see events of its own time comes
+    before them, one that must comes after.
     """
     no_score, no_code = F.lit(None).cast("double"), F.lit(None).cast("string")
-    no_moment = F.lit(None).cast("timestamp")
-    far = probes.select(
-        "key", "moment", (F.col("at") - F.lit(span)).alias("at"), F.lit(0).alias("turn"),
-        no_score.alias("score"), no_code.alias("code"),
-    )
-    near = probes.select(
-        "key", "moment", "at", F.lit(2).alias("turn"), no_score.alias("score"), no_code.alias("code")
+    near_turn = 2 if inside else 0
+
+    def probe(asked_at: Column, far: bool) -> DataFrame:
+        return probes.select(
+            "key",
+            F.col("at").alias("asked"),
+            asked_at.alias("at"),
+            F.lit(0 if far else near_turn).alias("turn"),
+            F.lit(far).alias("far"),
+            no_score.alias("score"),
+            no_code.alias("code"),
+        )
+
+    happened = events.select(
+        "key",
+        F.lit(None).cast("bigint").alias("asked"),
+        "at",
+        F.lit(1).alias("turn"),
+        F.lit(None).cast("boolean").alias("far"),
+        "score",
+        "code",
     )
-    happened = signals.select(
-        "key", no_moment.alias("moment"), "at", F.lit(1).alias("turn"), "score", "code"
+    rows = (
+        probe(F.col("at"), False)
+        .unionByName(probe(F.col("at") - F.lit(span).cast("bigint"), True))
+        .unionByName(happened)
+        .withColumn("slice", slice_of(F.col("at"), width))
     )
-    rows = far.unionByName(near).unionByName(happened).withColumn("slice", slice_of(F.col("at"), width))
-
     group = Window.partitionBy("key", "slice")
     so_far = (Window.unboundedPreceding, Window.currentRow)
     up_to = group.orderBy(F.col("at").asc(), F.col("turn").asc()).rowsBetween(*so_far)
     after = group.orderBy(F.col("at").desc(), F.col("turn").asc()).rowsBetween(*so_far)
-    is_event = F.col("turn") == 1
+    is_event = F.col("asked").isNull()
 
-    def piece(turn: int, window) -> list[Column]:
+    def summary(window: Window, side: str) -> list[Column]:
         return [
-            F.max("score").over(window).alias(f"score{turn}"),
-            F.collect_set("code").over(window).alias(f"codes{turn}"),
-            F.max(is_event).over(window).alias(f"seen{turn}"),
+            F.max("score").over(window).alias(f"score_{side}"),
+            F.collect_set("code").over(window).alias(f"codes_{side}"),
+            F.max(is_event).over(window).alias(f"seen_{side}"),
         ]
 
-    walked = rows.select("key", "moment", "turn", *piece(2, up_to), *piece(0, after))
-    near_end = F.col("turn") == 2
-    return walked.where(~is_event).select(
-        "key",
-        "moment",
-        F.when(near_end, F.col("score2")).otherwise(F.col("score0")).alias("score"),
-        F.when(near_end, F.col("codes2")).otherwise(F.col("codes0")).alias("codes"),
-        F.when(near_end, F.col("seen2")).otherwise(F.col("seen0")).alias("seen"),
-    )
+    walked = rows.select("key", "asked", "far", *summary(up_to, "near"), *summary(after, "far"))
 
+    def pick(name: str) -> Column:
+        return F.when(F.col("far"), F.col(f"{name}_far")).otherwise(F.col(f"{name}_near"))
 
-def _middle_piece(probes: DataFrame, signals: DataFrame, width: int, slices: int) -> DataFrame:
-    """Summaries of the whole slices strictly between both ends of each span."""
-    asked = probes.select("key", slice_of(F.col("at"), width).alias("slice")).distinct()
-    reduced = signals.groupBy("key", slice_of(F.col("at"), width).alias("slice"), "code").agg(
-        F.max("score").alias("score")
-    )
-    rows = asked.select(
-        "key", "slice", F.lit(None).cast("string").alias("code"),
-        F.lit(None).cast("double").alias("score"), F.lit(False).alias("is_event"),
-    ).unionByName(reduced.withColumn("is_event", F.lit(True)))
-    between = Window.partitionBy("key").orderBy("slice").rangeBetween(-(slices - 1), -1)
-    walked = rows.select(
-        "key",
-        "slice",
-        "is_event",
-        F.max("score").over(between).alias("score"),
-        F.collect_set("code").over(between).alias("codes"),
-        F.max("is_event").over(between).alias("seen"),
-    ).where(~F.col("is_event") & F.col("seen"))
-    located = probes.select("key", "moment", slice_of(F.col("at"), width).alias("slice"))
-    return located.join(walked.drop("is_event"), ["key", "slice"]).select(
-        "key", "moment", "score", "codes", "seen"
+    return walked.where(~is_event & pick("seen")).select(
+        "key", F.col("asked").alias("at"), pick("score").alias("score"), pick("codes").alias("codes")
     )
