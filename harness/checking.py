@@ -175,12 +175,12 @@ def check_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """A source, and a target that lost the errors of users under 10 and doubled the views of user 20."""
+    """A source, and a target that lost the errors of small value and holds the views of great value twice."""
     source = table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", "value", F.try_parse_json("props").alias("doc")
     )
-    lost = (F.col("event_type") == "error") & (F.col("user_id") < 10)
-    twice = (F.col("event_type") == "view") & (F.col("user_id") == 20)
+    lost = (F.col("event_type") == "error") & (F.col("value") < 10)
+    twice = (F.col("event_type") == "view") & (F.col("value") > 300)
     copies = F.when(lost, 0).when(twice, 2).otherwise(1)
     target = source.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).drop("_copy")
     return source, target
@@ -189,9 +189,9 @@ def _copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query(
     """
     SELECT CAST(user_id AS VARCHAR) AS key_value, count(*) AS source_rows,
-           CAST(count(*) - sum(CASE WHEN event_type = 'error' AND user_id < 10 THEN 1 ELSE 0 END)
-                + sum(CASE WHEN event_type = 'view' AND user_id = 20 THEN 1 ELSE 0 END) AS BIGINT) AS target_rows,
-           sum(CASE WHEN (event_type = 'error' AND user_id < 10) OR (event_type = 'view' AND user_id = 20)
+           CAST(count(*) - sum(CASE WHEN event_type = 'error' AND value < 10 THEN 1 ELSE 0 END)
+                + sum(CASE WHEN event_type = 'view' AND value > 300 THEN 1 ELSE 0 END) AS BIGINT) AS target_rows,
+           sum(CASE WHEN (event_type = 'error' AND value < 10) OR (event_type = 'view' AND value > 300)
                     THEN 1 ELSE 0 END) = 0 AS passed
     FROM events GROUP BY user_id
     """
@@ -205,7 +205,7 @@ def check_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT event_id, event_type, 1 AS source_rows, CASE WHEN event_type = 'view' THEN 2 ELSE 0 END AS target_rows
     FROM events
-    WHERE (event_type = 'error' AND user_id < 10) OR (event_type = 'view' AND user_id = 20)
+    WHERE (event_type = 'error' AND value < 10) OR (event_type = 'view' AND value > 300)
     """
 )
 def check_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +266,7 @@ def check_double_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT 'casts' AS check_name, 11 AS passed, 3 AS failed
     UNION ALL
     SELECT 'parity', count(*) FILTER (WHERE bad = 0), count(*) FILTER (WHERE bad > 0)
-    FROM (SELECT sum(CASE WHEN (event_type = 'error' AND user_id < 10) OR (event_type = 'view' AND user_id = 20)
+    FROM (SELECT sum(CASE WHEN (event_type = 'error' AND value < 10) OR (event_type = 'view' AND value > 300)
                           THEN 1 ELSE 0 END) AS bad FROM events GROUP BY user_id)
     """
 )

@@ -71,12 +71,43 @@ def to_variant(value: Column, feed_type: T.DataType) -> Column:
 
 
 def cast_to(value: Column, feed_type: T.DataType, declared: T.DataType) -> Column:
-    """``value`` in its declared type; a leaf that does not fit becomes NULL, its neighbours stay."""
+    """``value`` in its declared type; a leaf that does not fit becomes NULL, its neighbours stay.
+
+    Struct fields are matched by name. Spark's own cast matches them by position, so it is used only
+    where the names are the same in the same order.
+    """
     if feed_type == declared:
         return value
     if isinstance(declared, T.VariantType):
         return to_variant(value, feed_type)
-    return value.try_cast(declared)
+    if _same_names(feed_type, declared):
+        return value.try_cast(declared)
+    if isinstance(declared, T.ArrayType):
+        return F.transform(value, lambda item: cast_to(item, feed_type.elementType, declared.elementType))
+    delivered = _field_types(feed_type)
+    fields = [
+        cast_to(value[f.name], delivered[f.name], f.dataType)
+        if f.name in delivered
+        else F.lit(None).cast(f.dataType)
+        for f in declared.fields
+    ]
+    named = [c.alias(f.name) for c, f in zip(fields, declared.fields)]
+    return F.when(value.isNotNull(), F.struct(*named))
+
+
+def _field_types(struct: T.StructType) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in struct.fields}
+
+
+def _same_names(feed_type: T.DataType, declared: T.DataType) -> bool:
+    """Whether a positional cast is right: equal field names throughout, and no nested map."""
+    if isinstance(declared, T.StructType) and isinstance(feed_type, T.StructType):
+        if feed_type.fieldNames() != declared.fieldNames():
+            return False
+        return all(_same_names(a.dataType, b.dataType) for a, b in zip(feed_type.fields, declared.fields))
+    if isinstance(declared, T.ArrayType) and isinstance(feed_type, T.ArrayType):
+        return _same_names(feed_type.elementType, declared.elementType)
+    return not isinstance(declared, T.VariantType)
 
 
 def cast_failed(value: Column, cast: Column, feed_type: T.DataType, declared: T.DataType) -> Column | None:
@@ -87,14 +118,16 @@ def cast_failed(value: Column, cast: Column, feed_type: T.DataType, declared: T.
     if feed_type == declared or isinstance(declared, T.StringType):
         return None
     if isinstance(declared, T.StructType):
-        feed_fields = {f.name: f.dataType for f in feed_type.fields}
+        delivered = _field_types(feed_type)
         parts = [
-            cast_failed(value[f.name], cast[f.name], feed_fields[f.name], f.dataType)
+            cast_failed(value[f.name], cast[f.name], delivered[f.name], f.dataType)
             for f in declared.fields
+            if f.name in delivered
         ]
         parts = [p for p in parts if p is not None]
         return F.coalesce(_any(parts), F.lit(False)) if parts else None
     if isinstance(declared, T.ArrayType):
+
         def item_failed(before: Column, after: Column) -> Column | None:
             return cast_failed(before, after, feed_type.elementType, declared.elementType)
 

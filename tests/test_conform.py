@@ -103,3 +103,19 @@ def test_drift(spark):
     assert drift["surprise"] == ("unexpected", 1)
     assert drift["utm"] == ("missing", 0)
     assert len(drift) == 11
+
+
+def test_struct_fields_are_matched_by_name(spark):
+    feed = spark.sql(
+        "SELECT 'e' event_id, array(named_struct('price', 1.5D, 'note', 'x', 'sku', 's')) items, "
+        "named_struct('country', 'fr', 'ip', '1.1.1.1') context, '20240130' event_date, 5 hour_bucket "
+        "UNION ALL SELECT 'n', array(NULL), NULL, '20240130', 5"
+    )
+    landing = land_frame("mobile_events", feed)
+    rows = {r.event_id: r for r in landing.rows.collect()}
+    item = rows["e"]["items"][0]
+    assert (item.sku, item.qty, item.price) == ("s", None, Decimal("1.5"))
+    assert rows["e"].context.ip == "1.1.1.1" and rows["e"].context.referrer is None
+    assert rows["n"].context is None and rows["n"]["items"] == [None]
+    assert landing.rows.schema.simpleString() == RAW["mobile_events"].schema.simpleString()
+    assert landing.quarantine.count() == 0
