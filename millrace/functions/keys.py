@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 DATE_TS_FORMATS = ("yyyyMMddHH", "yyyy-MM-dd-HH", "yyyyMMdd", "yyyy-MM-dd")
 DATE_FORMATS = ("yyyyMMdd", "yyyy-MM-dd")
 
+# Patterns of text that Spark casts to a timestamp as it stands.
+CASTABLE = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
 
 def shape_of(pattern: str) -> str:
     """A regular expression for texts that a numeric date pattern could read.
@@ -22,22 +25,63 @@ def shape_of(pattern: str) -> str:
     pattern is tried only on text of its shape.
     """
     shape = ""
-    for quoted, letters, other in re.findall(r"'([^']*)'|([A-Za-z]+)|([^A-Za-z'])", pattern):
-        if letters:
-            run_lengths = [len(m.group()) for m in re.finditer(r"(.)\1*", letters)]
-            shape += "".join(r"\d{1,2}" if n == 1 else rf"\d{{{n}}}" for n in run_lengths)
+    for letters, literal in _runs(pattern):
+        if not letters:
+            shape += re.escape(literal)
         else:
-            shape += re.escape(quoted or other)
+            shape += r"\d{1,2}" if len(letters) == 1 else rf"\d{{{len(letters)}}}"
     return f"^{shape}$"
 
 
+def standard_text(text: Column, pattern: str) -> Column | None:
+    """Text of a fixed-width pattern rearranged to ``yyyy-MM-dd HH:mm:ss.SSSSSS``, as far as the
+    pattern goes. None for patterns with fields of varying width.
+
+    Spark casts such text several times faster than it parses by a pattern, and by the same rules.
+    """
+    if pattern in CASTABLE:
+        return text
+    pieces: dict[str, Column] = {}
+    start = 1
+    for letters, literal in _runs(pattern):
+        if len(letters) == 1:
+            return None
+        if letters:
+            pieces[letters[0]] = F.substr(text, F.lit(start), F.lit(len(letters)))
+        start += len(letters) + len(literal)
+    if not {"y", "M", "d"} <= set(pieces):
+        return None
+    parts = [pieces["y"], F.lit("-"), pieces["M"], F.lit("-"), pieces["d"]]
+    if "H" in pieces:
+        zeros = F.lit("00")
+        parts += [F.lit(" "), pieces["H"], F.lit(":"), pieces.get("m", zeros), F.lit(":"), pieces.get("s", zeros)]
+    if "S" in pieces:
+        parts += [F.lit("."), pieces["S"]]
+    return F.concat(*parts)
+
+
+def _runs(pattern: str) -> list[tuple[str, str]]:
+    """A pattern as (letters of one field, "") and ("", literal text) pairs."""
+    found = re.findall(r"'([^']*)'|(([A-Za-z])\3*)|([^A-Za-z'])", pattern)
+    return [(field, quoted or other) for quoted, field, _, other in found]
+
+
 def parse_timestamp(text: Column, formats: tuple[str, ...]) -> Column:
     """The first format that fits the text."""
-    return F.coalesce(*[F.when(text.rlike(shape_of(f)), F.try_to_timestamp(text, F.lit(f))) for f in formats])
+
+    def read(pattern: str) -> Column:
+        standard = standard_text(text, pattern)
+        return F.try_to_timestamp(text, F.lit(pattern)) if standard is None else standard.try_cast("timestamp")
+
+    return F.coalesce(*[F.when(text.rlike(shape_of(f)), read(f)) for f in formats])
 
 
 def parse_date(text: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.when(text.rlike(shape_of(f)), F.try_to_date(text, f)) for f in formats])
+    def read(pattern: str) -> Column:
+        standard = standard_text(text, pattern)
+        return F.try_to_date(text, pattern) if standard is None else standard.try_cast("date")
+
+    return F.coalesce(*[F.when(text.rlike(shape_of(f)), read(f)) for f in formats])
 
 
 def hour_from_text(date_ts: Column, formats: tuple[str, ...] = DATE_TS_FORMATS) -> Column:

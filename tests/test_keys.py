@@ -57,3 +57,24 @@ def test_first_fitting_format_wins(spark):
     rows = [("12/1/2010 8:26",), ("2010-12-01 08:26:00",), ("2010-12-01",), ("1/12/2010 25:00",), ("soon",)]
     got = values(spark, rows, ["t"], lambda: keys.parse_timestamp(F.col("t"), formats))
     assert got == [datetime(2010, 12, 1, 8, 26)] * 2 + [datetime(2010, 12, 1), None, None]
+
+
+@pytest.mark.parametrize(
+    "pattern",
+    ["yyyyMMddHH", "yyyy-MM-dd-HH", "yyyyMMdd", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss",
+     "yyyy-MM-dd HH:mm:ss.SSSSSS", "dd.MM.yyyy HH:mm", "yyyyMMddHHmmss", "M/d/yyyy H:mm"],
+)
+def test_rearranged_text_reads_as_the_pattern_would(spark, pattern):
+    """Times of every month and hour, and the same texts with fields out of range."""
+    moments = spark.range(2000).select(
+        F.timestamp_micros(F.lit(951_782_400_000_000) + F.col("id") * 354_321_987_654).alias("at")
+    )
+    written = moments.select(F.date_format("at", pattern).alias("text"))
+    broken = written.select(F.translate("text", "01234", "97865").alias("text"))
+    texts = written.union(broken)
+    both = texts.select(
+        keys.parse_timestamp(F.col("text"), (pattern,)).alias("mine"),
+        F.try_to_timestamp("text", F.lit(pattern)).alias("theirs"),
+    )
+    assert both.where(~F.col("mine").eqNullSafe(F.col("theirs"))).count() == 0
+    assert both.where("mine IS NOT NULL").count() >= 2000 and both.where("mine IS NULL").count() > 0
