@@ -77,6 +77,8 @@ class Contract:
     key: Key
     cluster: tuple[str, ...] = ()
     feed: Feed | None = None
+    # The column naming the drop, where the key comes from the rows and drops share its partitions.
+    drop: str | None = None
 
     @property
     def table(self) -> str:
@@ -102,8 +104,10 @@ RAW: dict[str, Contract] = {}
 STAGING: dict[str, Contract] = {}
 
 
-def _raw(name: str, text: str, key: Key, feed: Feed, cluster: tuple[str, ...] = ()) -> None:
-    RAW[name] = Contract("raw", name, columns(text), key, cluster, feed)
+def _raw(
+    name: str, text: str, key: Key, feed: Feed, cluster: tuple[str, ...] = (), drop: str | None = None
+) -> None:
+    RAW[name] = Contract("raw", name, columns(text), key, cluster, feed, drop)
 
 
 def _hourly(name: str, text: str, file_format: str, promoted: str | None = None) -> None:
@@ -246,6 +250,7 @@ _raw(
     "signal_ts timestamp, vendor string, signal_date string",
     Key("signal_ts", "day"),
     Feed("avro", {"signal_date": "string"}, "signal_day", {"millis": "signal_ts"}),
+    drop="signal_date",
 )
 
 _staging(

@@ -21,6 +21,12 @@ def partition_column(key: Key) -> str:
     return key.column if key.grain == "date" else PART
 
 
+def partition_columns(contract: Contract) -> list[str]:
+    """The folders of a table: its key, and below it the drop where drops share a key's partition,
+    so that loading one drop again cannot replace rows of another."""
+    return [partition_column(contract.key), *([contract.drop] if contract.drop else [])]
+
+
 def partition_value(key: Key) -> Column:
     """The stored partition value recomputed from the key column."""
     if key.grain == "date":
@@ -40,7 +46,7 @@ def place(df: DataFrame, contract: Contract) -> DataFrame:
     if contract.key.grain != "date":
         df = df.withColumn(PART, partition_value(contract.key))
     if not contract.cluster:
-        return df.hint("rebalance", part)
+        return df.hint("rebalance", *partition_columns(contract))
     hashed = [f.name for f in contract.schema.fields if not isinstance(f.dataType, T.VariantType)]
     order = [part, *contract.cluster]
     return df.repartitionByRange(*order, F.xxhash64(*hashed)).sortWithinPartitions(*order)
@@ -63,7 +69,7 @@ def write_table(
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(partition_column(contract.key))
+        .partitionBy(*partition_columns(contract))
         .parquet(path)
     )
 

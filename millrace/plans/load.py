@@ -6,7 +6,7 @@ from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.contracts import RAW, Contract
-from millrace.operators.conform import ORIGINAL
+from millrace.operators.conform import ORIGINAL, conform
 from millrace.operators.layout import write_table
 from millrace.sources.landing import land
 from millrace.sources.readers import Values
@@ -16,6 +16,15 @@ def table_path(warehouse: str, contract: Contract) -> str:
     return f"{warehouse.rstrip('/')}/{contract.layer}/{contract.name}"
 
 
+def _check_drop_name(spark: SparkSession, contract: Contract, values: dict[str, str]) -> None:
+    """A drop whose name gives no key would replace the NULL partition of others like it."""
+    if contract.drop:
+        return
+    name = spark.range(1).select(*[F.lit(v).cast("string").alias(n) for n, v in values.items()])
+    if conform(name, contract).rows.where(F.col(contract.key.column).isNull()).count():
+        raise ValueError(f"{contract.table} cannot be loaded under {values}: no key can be read from it")
+
+
 def load_feed(
     spark: SparkSession,
     feed: str,
@@ -34,6 +43,8 @@ def load_feed(
     a row twice when a task is run again or a clustered write samples its rows.
     """
     contract = RAW[feed]
+    if partition_values:
+        _check_drop_name(spark, contract, partition_values)
     landing = land(spark, feed, path, partition_values, **options)
     seen = Observation()
     observed = landing.checked.observe(seen, F.count(F.col(ORIGINAL)).alias("unfit"))

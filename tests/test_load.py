@@ -1,6 +1,12 @@
+from datetime import date
+
+import pytest
+
 from millrace.contracts import RAW
 from millrace.operators.layout import read_table
 from millrace.plans.load import load_feed, table_path
+from millrace.plans.views import fraud_signals_recent
+from tests.test_landing import SIGNALS, write_avro
 
 
 def test_drops_are_loaded_and_reloaded(spark, tmp_path):
@@ -30,3 +36,40 @@ def test_clustered_drop(spark, tmp_path):
     assert load_feed(spark, "mobile_events", str(drop), str(tmp_path / "wh"), str(tmp_path / "bad"), values) == 1
     stored = read_table(spark, table_path(str(tmp_path / "wh"), RAW["mobile_events"]), RAW["mobile_events"])
     assert stored.count() == 301
+
+
+def test_drops_that_share_a_day_do_not_replace_each_other(spark, tmp_path):
+    """Signals are stored by their own day, so a drop may reach into the days of others."""
+    warehouse, contract = str(tmp_path / "wh"), RAW["fraud_signals"]
+    day = 86_400_000
+    start = 1706486400000  # 2024-01-29
+
+    def load(drop, times):
+        path = str(tmp_path / f"{drop}-{len(times)}.avro")
+        rows = [{"customer_id": drop, "score": 0.5, "reason_codes": [], "signal_ts": t} for t in times]
+        write_avro(spark, path, SIGNALS, rows)
+        assert load_feed(spark, "fraud_signals", path, warehouse, str(tmp_path / "bad"), {"signal_date": drop}) == 0
+
+    def stored():
+        table = read_table(spark, table_path(warehouse, contract), contract)
+        assert table.columns == contract.names
+        return table
+
+    load("20240129", [start, start + day, None])
+    load("20240130", [start + day, start + day + 1, None])
+    assert stored().count() == 6 and stored().where("signal_ts IS NULL").count() == 2
+    load("20240129", [start, start + day, start + day + 2, None])
+    counts = {r.signal_date: r["count"] for r in stored().groupBy("signal_date").count().collect()}
+    assert counts == {"20240129": 4, "20240130": 3}
+
+    recent = fraud_signals_recent(stored(), date(2024, 1, 31))
+    assert recent.count() == 3
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(signal_date" in plan
+
+
+def test_a_drop_whose_name_gives_no_key_is_refused(spark, tmp_path):
+    drop = tmp_path / "a.csv"
+    drop.write_text("A,S,d,1,x,2.5,C,FR\n")
+    with pytest.raises(ValueError, match="no key"):
+        load_feed(spark, "sales_retail", str(drop), str(tmp_path / "wh"), str(tmp_path / "bad"), {"date_ts": "soon"})
