@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import quality
+from millrace.llm import quality, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +19,22 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op6_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.filtered(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 QUERIES = {
     "op1_robust_outliers": op1_robust_outliers,
+    "op6_url_ratio": op6_url_ratio,
 }
 ORACLES: dict[str, str] = {}
