@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import quality, urls
+from millrace.llm import language, quality, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,8 +33,16 @@ def op6_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filtered(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = language.fit(docs)
+    rows = docs.select("doc_id", "text", language.held_out(F.col("doc_id")).alias("held_out"))
+    return language.identified(rows, field).drop("text")
+
+
 QUERIES = {
     "op1_robust_outliers": op1_robust_outliers,
     "op6_url_ratio": op6_url_ratio,
+    "op10_crf_language": op10_crf_language,
 }
 ORACLES: dict[str, str] = {}
