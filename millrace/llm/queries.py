@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, quality, urls
+from millrace.llm import language, matrices, packing, quality, urls
+from millrace.llm.common import written
+
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +24,15 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op9_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = written(matrices.rows(table(spark, sf_dir, "documents"), TOKENIZER), "matrices")
+    return matrices.unpacked(packed)
+
+
 URL_RULES = [
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -41,6 +55,8 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op9_packed_matrices": op9_packed_matrices,
     "op1_robust_outliers": op1_robust_outliers,
     "op6_url_ratio": op6_url_ratio,
     "op10_crf_language": op10_crf_language,
