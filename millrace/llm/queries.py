@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, matrices, packing, quality, urls
+from millrace.llm import language, matrices, packing, quality, urls, warc
 from millrace.llm.common import written
+from millrace.session import scratch_path
 
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,15 @@ def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "llm/warc")
+    manifest = warc.write(table(spark, sf_dir, "pages"), folder)
+    records = warc.read(spark, folder, manifest)
+    return records.select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -55,6 +65,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_dictionary_warc": op2_dictionary_warc,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op9_packed_matrices": op9_packed_matrices,
     "op1_robust_outliers": op1_robust_outliers,
