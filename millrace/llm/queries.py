@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, matrices, packing, quality, urls, warc
+from millrace.llm import language, matrices, mixing, packing, quality, urls, warc
 from millrace.llm.common import written
 from millrace.session import scratch_path
 
@@ -38,6 +38,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 def op9_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = written(matrices.rows(table(spark, sf_dir, "documents"), TOKENIZER), "matrices")
     return matrices.unpacked(packed)
@@ -65,6 +69,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_cube_mix": op7_cube_mix,
     "op2_dictionary_warc": op2_dictionary_warc,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op9_packed_matrices": op9_packed_matrices,
