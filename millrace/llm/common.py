@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.session import scratch_path
 
 #: Characters of text that a task holds as Python objects at a time.
-SLICE_CHARS = 6_000_000
+SLICE_CHARS = 2_000_000
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
