@@ -8,10 +8,11 @@ the cube method: inclusion probabilities move along the null space of the constr
 documents and of words taken) until each is 0 or 1, which keeps both totals.
 
 The flight is a tree. Documents are dealt by hash to shards of about ``SHARD`` documents, whatever
-their source. In each shard the flight takes the longest documents first and ends with fewer than
-three undecided documents per source, mostly short ones. Those of all shards are dealt anew, to fewer
-shards, until one is left, where the landing decides the last ones: of the possible endings the one
-whose words come nearest. Random directions come from hashes, so a mix is the same each time.
+their source; in each shard the flight ends with fewer than three undecided documents per source.
+Those of all shards are dealt anew, to fewer shards, until one is left. There ``ASIDE`` documents of
+various lengths are put aside before the flight, and the landing decides these and the last ones: of
+all possible endings it takes the one whose words, then whose number come nearest. Random directions
+come from hashes, so a mix is the same each time.
 
 Cases: a null text has no words, and such documents are mixed like others; a source without words has
 the target 0 and gives nothing; a null source is a source of its own. Repeated rows are decided one by
@@ -35,6 +36,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
 SHARD = 2_000
+ASIDE = 9
 SEED = 7
 NEAR = 1e-9
 
@@ -113,17 +115,34 @@ def flight(chance: np.ndarray, words: np.ndarray, noise: np.ndarray) -> np.ndarr
         held = [i for i in held if NEAR < values[i] < 1 - NEAR]
 
 
+def aside(chance: np.ndarray, words: np.ndarray, most: int = ASIDE) -> np.ndarray:
+    """Places of undecided documents, at even steps of their order by length."""
+    undecided = np.flatnonzero((chance > NEAR) & (chance < 1 - NEAR))
+    ordered = undecided[np.argsort(words[undecided], kind="stable")]
+    return ordered[np.unique(np.linspace(0, len(ordered) - 1, min(most, len(ordered))).astype(int))]
+
+
 def landing(chance: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Decide the last few: of all endings, the one whose words (then number) come nearest."""
+    """Decide the last few: of all endings, the one whose words and number come nearest."""
     last = np.flatnonzero((chance > NEAR) & (chance < 1 - NEAR))
     out = np.round(chance)
     if len(last):
-        own, aim = words[last], float((chance[last] * words[last]).sum())
-        best = min(product((0, 1), repeat=len(last)), key=lambda e: (abs(float(np.dot(e, own)) - aim), abs(sum(e) - chance[last].sum()), e))
-        out[last] = best
+        endings = np.array(list(product((0, 1), repeat=len(last))), dtype=float)
+        off_words = np.abs(endings @ words[last] - chance[last] @ words[last])
+        off_number = np.abs(endings.sum(axis=1) - chance[last].sum())
+        out[last] = endings[np.lexsort((off_number, np.round(off_words + off_number * words[last].mean() / 50, 6)))[0]]
     return out
 
 
+def landed(chance: np.ndarray, words: np.ndarray, noise: np.ndarray) -> np.ndarray:
+    """The flight of all but a few documents, and the landing of these."""
+    free = np.ones(len(chance), dtype=bool)
+    free[aside(chance, words)] = False
+    out = chance.copy()
+    out[free] = flight(chance[free], words[free], noise[free])
+    return landing(out, words)
+
+
 def flown(frame: DataFrame, shards: int, last: bool) -> DataFrame:
     """One round: (source, key, size, chance, ...) dealt to shards; chances moved there."""
     dealt = frame.withColumn("shard", F.pmod(F.xxhash64(F.lit(shards), "key"), F.lit(shards)))
@@ -133,16 +152,13 @@ def flown(frame: DataFrame, shards: int, last: bool) -> DataFrame:
         rows = table.to_pandas()
         rows["source"] = rows["source"].astype(object).where(rows["source"].notna(), None)
         rows["none"] = rows["source"].isna()
-        rows["less"] = -rows["size"]
-        rows = rows.sort_values(["none", "source", "less", "key"], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["none", "source", "key", "size"], kind="stable").reset_index(drop=True)
         chance = rows["chance"].to_numpy().copy()
         start = np.flatnonzero((rows["source"].fillna("").ne(rows["source"].fillna("").shift()) | rows["none"].ne(rows["none"].shift())).to_numpy())
         for a, b in zip(start, [*start[1:], len(rows)], strict=True):
             words = rows["size"].to_numpy()[a:b].astype(float)
             noise = (rows["key"].to_numpy()[a:b].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(11)) / float(1 << 53)
-            chance[a:b] = flight(chance[a:b], words, noise)
-            if last:
-                chance[a:b] = landing(chance[a:b], words)
+            chance[a:b] = (landed if last else flight)(chance[a:b], words, noise)
         rows["chance"] = chance
         return pa.Table.from_pandas(rows[names], schema=table.schema.remove_metadata(), preserve_index=False)
 
