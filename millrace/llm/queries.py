@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import language, matrices, mixing, packing, quality, urls, warc
+from millrace.llm import forest, language, matrices, mixing, packing, quality, urls, warc
 from millrace.llm.common import written
 from millrace.session import scratch_path
 
@@ -38,6 +38,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_projection_forest": op4_projection_forest,
     "op7_cube_mix": op7_cube_mix,
     "op2_dictionary_warc": op2_dictionary_warc,
     "op3_best_fit_packing": op3_best_fit_packing,
