@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import forest, language, matrices, mixing, packing, quality, urls, warc
+from millrace.llm import blocks, forest, language, made_pages, matrices, mixing, packing, quality, urls, warc
 from millrace.llm.common import written
 from millrace.session import scratch_path
 
@@ -60,6 +60,11 @@ URL_RULES = [
 ]
 
 
+def op5_recurrent_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labeller = blocks.Labeller().fit(made_pages.training(blocks.PAGES, blocks.SEED))
+    return blocks.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"), labeller)
+
+
 def op6_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.filtered(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
@@ -73,6 +78,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_recurrent_blocks": op5_recurrent_blocks,
     "op4_projection_forest": op4_projection_forest,
     "op7_cube_mix": op7_cube_mix,
     "op2_dictionary_warc": op2_dictionary_warc,
