@@ -318,3 +318,20 @@ def identified(frame: DataFrame, field: Field, text: str = "text", runs: bool =
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     more = ", runs array<struct<words:int,lang:string>>" if runs else ""
     return base.mapInArrow(run, f"{types}, lang_pred string, score double{more}")
+
+
+def accepted(frame: DataFrame, field: Field, text: str = "text", least: float = 0.4) -> DataFrame:
+    """The rows whose language is known with at least ``least``, with the columns of the frame.
+
+    Code-switched texts pass: half of their words or nearly so are of one language.
+    """
+    at = frame.columns.index(text)
+    shared = frame.sparkSession.sparkContext.broadcast(field)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, at):
+            found = read(shared.value, part.column(at).to_pylist(), False)
+            good = [lang != UNKNOWN and score >= least for lang, score, _ in found]
+            yield part.filter(pa.array(good, pa.bool_()))
+
+    return frame.mapInArrow(run, frame.schema)

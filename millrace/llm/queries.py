@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import blocks, forest, language, made_pages, matrices, mixing, packing, quality, urls, warc
+from millrace.llm import blocks, forest, jaccard, language, made_pages, matrices, mixing, packing, quality, urls, warc
 from millrace.llm.common import written
 from millrace.session import scratch_path
 
@@ -46,6 +46,10 @@ def op7_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op8_rare_first_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op9_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = written(matrices.rows(table(spark, sf_dir, "documents"), TOKENIZER), "matrices")
     return matrices.unpacked(packed)
@@ -78,6 +82,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_rare_first_join": op8_rare_first_join,
     "op5_recurrent_blocks": op5_recurrent_blocks,
     "op4_projection_forest": op4_projection_forest,
     "op7_cube_mix": op7_cube_mix,
