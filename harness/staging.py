@@ -274,13 +274,14 @@ def cleansed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     started AS (
       SELECT *, max(start_mark) OVER (PARTITION BY visitor, given ORDER BY ts) AS start_ts FROM marked),
     counted AS (
-      SELECT *, count(*) OVER s AS n, max(ts) OVER s AS end_ts
+      SELECT *, CAST(count(*) OVER s AS HUGEINT) AS n,
+             CAST(greatest(epoch_us(max(ts) OVER s) - epoch_us(start_ts), 60000000) AS HUGEINT) AS lasted
       FROM started WINDOW s AS (PARTITION BY visitor, given, start_ts))
     SELECT coalesce(given, visitor || '-' || epoch_us(start_ts)) AS session_id, visitor AS user_id,
            strftime(ts, {MICRO}) AS event_ts, CASE WHEN web THEN page END AS page_url,
            CASE WHEN value > 100 THEN 'de' END AS country,
            CASE WHEN value > 100 THEN 'DE' ELSE 'ZZ' END AS country_partition,
-           least(9999, n * 60000000000 // greatest(epoch_us(end_ts) - epoch_us(start_ts), 60000000)) / 1000.0
+           (n * 60000000 // lasted) || '.' || lpad(CAST(n * 60000000 % lasted * 1000000000 // lasted AS VARCHAR), 9, '0')
              AS bot_score,
            strftime(ts, '%Y-%m-%d') AS event_date
     FROM counted
@@ -317,7 +318,7 @@ def dedup_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     clicks = dedup(web, app, repeat_grain="HOUR")
     return clicks.select(
         "session_id", "user_id", micro_text("event_ts").alias("event_ts"), "page_url", "country",
-        "country_partition", ratio("bot_score", 3).alias("bot_score"), text("event_date").alias("event_date"),
+        "country_partition", text("bot_score").alias("bot_score"), text("event_date").alias("event_date"),
     )
 
 
@@ -452,16 +453,16 @@ def carrier_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH sale AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
     signal AS (
       SELECT user_id, ts, value / 500 AS score, [props, 'k' || CAST(floor(value / 100) AS BIGINT)] AS codes
-      FROM events WHERE event_type = 'error'),
+      FROM events WHERE event_type <> 'purchase'),
     matched AS (
       SELECT sale.event_id, max(score) AS score, list_sort(list_distinct(flatten(list(codes)))) AS codes
       FROM sale JOIN signal ON sale.user_id = signal.user_id
         AND signal.ts > sale.ts - INTERVAL 24 HOUR AND signal.ts <= sale.ts
       GROUP BY ALL),
     scored AS (
-      SELECT sale.*, coalesce(CAST(score AS DECIMAL(5,4)), 0) AS s, codes
+      SELECT sale.*, coalesce(score, 0) AS s, codes
       FROM sale LEFT JOIN matched USING (event_id))
-    SELECT event_id AS txn_id, CAST(user_id AS VARCHAR) AS customer_id, CAST(s AS DOUBLE) AS fraud_score,
+    SELECT event_id AS txn_id, CAST(user_id AS VARCHAR) AS customer_id, CAST(CAST(s AS DECIMAL(38,9)) AS DOUBLE) AS fraud_score,
            CASE WHEN s >= 0.7 THEN 'high' WHEN s >= 0.3 THEN 'medium' ELSE 'low' END AS risk_band,
            coalesce(array_to_string(codes, ','), '') AS signals, strftime(ts, {MICRO}) AS scored_at,
            strftime(ts, '%Y-%m-%d') AS score_date
@@ -469,7 +470,7 @@ def carrier_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def fraud_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases are the transactions, errors the signals."""
+    """Purchases are the transactions, all other events the signals."""
     events = table(spark, sf_dir, "events")
     sales = raw_shaped(
         events.where(F.col("event_type") == "purchase"),
@@ -480,7 +481,7 @@ def fraud_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     level = F.concat(F.lit("k"), F.floor(F.col("value") / 100).cast("string"))
     signals = raw_shaped(
-        events.where(F.col("event_type") == "error"),
+        events.where(F.col("event_type") != "purchase"),
         "fraud_signals",
         customer_id=text("user_id"),
         score=F.col("value") / 500,
@@ -490,7 +491,7 @@ def fraud_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(sales, signals)
     return scored.withColumns(
         {
-            "fraud_score": ratio("fraud_score", 4),
+            "fraud_score": F.col("fraud_score").cast("double"),
             "signals": F.array_join("signals", ","),
             "scored_at": micro_text("scored_at"),
             "score_date": text("score_date"),

@@ -15,21 +15,25 @@ DATE_TS_FORMATS = ("yyyyMMddHH", "yyyy-MM-dd-HH", "yyyyMMdd", "yyyy-MM-dd")
 DATE_FORMATS = ("yyyyMMdd", "yyyy-MM-dd")
 
 # Patterns of text that Spark casts to a timestamp as it stands.
-CASTABLE = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+CASTABLE = (
+    "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+)
 
 
 def shape_of(pattern: str) -> str:
     """A regular expression for texts that a numeric date pattern could read.
 
     A failed parse costs far more than this test, because it is an exception inside Spark; so a
-    pattern is tried only on text of its shape.
+    pattern is tried only on text of its shape. A fraction may have 1 to 9 digits.
     """
     shape = ""
     for letters, literal in _runs(pattern):
         if not letters:
             shape += re.escape(literal)
         else:
-            shape += r"\d{1,2}" if len(letters) == 1 else rf"\d{{{len(letters)}}}"
+            one = r"\d{1,2}" if len(letters) == 1 else rf"\d{{{len(letters)}}}"
+            shape += r"\d{1,9}" if letters[0] == "S" else one
     return f"^{shape}$"
 
 

@@ -1,4 +1,4 @@
-"""Tests and clean-up for double values."""
+"""Tests and clean-up for double values, and exact sums of declared decimals."""
 
 from __future__ import annotations
 
@@ -36,3 +36,26 @@ def has_double(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.ArrayType):
         return has_double(data_type.elementType)
     return isinstance(data_type, T.DoubleType)
+
+
+SCALE = 9
+UNIT = 10**SCALE
+
+
+def billionths(value: Column) -> Column:
+    """A DECIMAL(38,9) as a whole number of billionths.
+
+    Spark cuts decimals when the digits of a sum or product could be more than 38, whatever the
+    values are; whole numbers of 38 digits are cut nowhere and give NULL when they do not fit.
+    """
+    whole = F.floor(value).cast("decimal(38,0)")
+    part = (F.pmod(value, F.lit(1).cast("decimal(1,0)")) * F.lit(UNIT).cast("decimal(10,0)")).cast("decimal(10,0)")
+    return F.try_add(F.try_multiply(whole, F.lit(UNIT).cast("decimal(10,0)")).cast("decimal(38,0)"), part).cast("decimal(38,0)")
+
+
+def from_billionths(number: Column) -> Column:
+    """The DECIMAL(38,9) of a whole number of billionths; it is put together as text."""
+    digits = F.lpad(F.abs(number).cast("string"), 38, "0")
+    sign = F.when(number < 0, "-").otherwise("")
+    text = F.concat(sign, F.substring(digits, 1, 38 - SCALE), F.lit("."), F.substring(digits, 39 - SCALE, SCALE))
+    return text.try_cast("decimal(38,9)")

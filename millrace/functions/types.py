@@ -62,12 +62,35 @@ def text_type(declared: T.DataType) -> T.DataType:
 
 
 def to_variant(value: Column, feed_type: T.DataType) -> Column:
-    """A map becomes a semi-structured object; text is parsed as JSON, NULL when it is not JSON."""
+    """A map becomes a semi-structured object, NULL when it has a key twice; text is parsed as JSON,
+    NULL when it is not JSON."""
     if isinstance(feed_type, T.VariantType):
         return value
     if isinstance(feed_type, T.StringType):
         return F.try_parse_json(value)
-    return F.to_variant_object(value)
+    return F.when(_distinct_keys(value, feed_type), F.to_variant_object(value))
+
+
+def _distinct_keys(value: Column, feed_type: T.DataType) -> Column:
+    """False where a map inside the value has a key twice, which no object can have."""
+    if isinstance(feed_type, T.MapType):
+        keys = F.map_keys(value)
+        distinct = F.size(keys) == F.size(F.array_distinct(keys))
+        inner = F.forall(F.map_values(value), lambda item: _distinct_keys(item, feed_type.valueType))
+        return F.coalesce(distinct & inner, F.lit(True))
+    if isinstance(feed_type, T.ArrayType):
+        return F.coalesce(F.forall(value, lambda item: _distinct_keys(item, feed_type.elementType)), F.lit(True))
+    if isinstance(feed_type, T.StructType):
+        fields = [_distinct_keys(value[f.name], f.dataType) for f in feed_type.fields]
+        return _all(fields)
+    return F.lit(True)
+
+
+def _all(parts: list[Column]) -> Column:
+    result = F.lit(True)
+    for part in parts:
+        result = result & part
+    return result
 
 
 def cast_to(value: Column, feed_type: T.DataType, declared: T.DataType) -> Column:

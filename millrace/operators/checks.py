@@ -131,9 +131,11 @@ def parity_report(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     columns = source.columns
     sides = []
     for side, df in (("source", source), ("target", target)):
-        hashed = F.xxhash64(*columns).cast("decimal(20,0)")
+        flat = comparable(df.select(*columns))
+        # A hash over columns passes over NULLs, so each is hashed with a mark of whether it is one.
+        hashed = F.xxhash64(*[v for c in columns for v in (F.col(c).isNull(), F.col(c))]).cast("decimal(20,0)")
         sides.append(
-            comparable(df.select(*columns)).select(
+            flat.select(
                 F.col(key).cast("string").alias("key_value"),
                 F.lit(side == "source").alias("is_source"),
                 hashed.alias("content"),

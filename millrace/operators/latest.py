@@ -35,8 +35,29 @@ def first_per_key(df: DataFrame, keys: list[Column], order: list[Column]) -> Dat
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+def has_key(keys: list[str]) -> Column:
+    """True where every column of the key is present."""
+    present = F.col(keys[0]).isNotNull()
+    for name in keys[1:]:
+        present = present & F.col(name).isNotNull()
+    return present
+
+
+def without_key(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """Rows that cannot be told apart by their key, in the form of the quarantine."""
+    missing = F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys]))
+    return df.where(~has_key(keys)).select(
+        F.lit(table).alias("table_name"),
+        missing.alias("failed_columns"),
+        F.to_json(F.struct(*df.columns)).alias("original"),
+    )
+
+
 def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str]) -> DataFrame:
-    """The newest row of each key, by the given columns and then by all others."""
+    """The newest row of each key, by the given columns and then by all others.
+
+    Rows without a key are not versions of one another and must be split off before.
+    """
     order = total_order(df, [F.col(c).desc_nulls_last() for c in newest_first], [*newest_first, *keys])
     return first_per_key(df, [F.col(k) for k in keys], order)
 

@@ -31,7 +31,7 @@ def geocoded_addresses(customer_signups: DataFrame, candidates: DataFrame, load_
         "raw_addr_hash",
         "lat",
         "lon",
-        F.col("confidence").try_cast("decimal(4,3)").cast(NUMERIC).alias("confidence"),
+        F.col("confidence").try_cast(NUMERIC).alias("confidence"),
         "provider",
     ).where(F.col("raw_addr_hash").isNotNull())
     order = [F.col("confidence").desc_nulls_last(), F.col("provider").asc_nulls_last()]

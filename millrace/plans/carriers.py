@@ -37,7 +37,8 @@ def normalized_carrier_events(
     statuses: dict[str, str] = STATUSES,
 ) -> DataFrame:
     """Events ``shipped``, ``delivered`` and ``estimated_delivery`` at their times, and the status
-    as an event at the time of the drop when it says something else.
+    as an event at the time of the drop when it says something else. The last part of a location is
+    its country, of three or more the one before it is the region, and the city is all before them.
 
     The small spelling tables are literals inside the projection, so the job has no shuffle.
     """
@@ -49,14 +50,19 @@ def normalized_carrier_events(
         _event(F.lit("estimated_delivery"), F.col("estimated_eta")),
         _event(status, other),
     ]
-    place = F.split("last_location", ",")
+    parts = F.split("last_location", ",")
+    count = F.size(parts)
+    # The city may hold commas of its own, such as a street before it.
+    city = F.slice(parts, 1, F.greatest(count - F.when(count > 2, 2).otherwise(1), F.lit(0)))
+    location = {
+        "city": F.array_join(F.filter(F.transform(city, F.trim), lambda part: part != ""), ", "),
+        "region": F.when(count > 2, F.element_at(parts, -2)),
+        "country": F.element_at(parts, -1),
+    }
     events = shipment_tracking.select(
         "tracking_no",
         _spelling(F.col("carrier"), carriers).alias("carrier"),
-        *[
-            blank_to_null(F.get(place, F.lit(i))).alias(f"location_{part}")
-            for i, part in enumerate(("city", "region", "country"))
-        ],
+        *[blank_to_null(value).alias(f"location_{part}") for part, value in location.items()],
         F.inline(F.array(*timed)),
     )
     dated = events.where(F.col("event_ts").isNotNull()).withColumn("event_date", F.to_date("event_ts"))

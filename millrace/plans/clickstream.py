@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from millrace.contracts import STAGING
 from millrace.functions.keys import parse_timestamp
-from millrace.functions.types import NUMERIC
-from millrace.operators.latest import first_per_key, total_order
+from millrace.functions.numbers import UNIT, from_billionths
+from millrace.operators.latest import first_per_key, has_key, total_order
 from millrace.operators.sessions import MICROS_PER_MINUTE, session_slices, slice_number
 
 WEB_TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-MAX_SCORE_THOUSANDTHS = 9999
 
 
 def dedup_clickstream(
@@ -28,7 +27,8 @@ def dedup_clickstream(
 
     ``repeat_grain`` widens "same time" from equal times to one hour, day and so on. Events without
     a session get one by pauses longer than the gap. ``bot_score`` is the session's events per
-    minute, cut after three decimals and capped.
+    minute, cut after nine decimals. An event without a visitor, a readable time or a page repeats no
+    other and is kept.
     """
     events = _from_web(omniture, web_time_formats).unionByName(_from_app(mobile_events))
     moment = F.col("event_ts") if repeat_grain is None else F.date_trunc(repeat_grain, "event_ts")
@@ -39,16 +39,19 @@ def dedup_clickstream(
     order = total_order(
         events, [F.col(c).asc_nulls_first() for c in deciding], [*deciding, *same_event], descending=False
     )
-    unique = first_per_key(events, [F.col(c) for c in same_event], order)
+    known = events.where(has_key(same_event))
+    unique = first_per_key(known, [F.col(c) for c in same_event], order)
+    unique = unique.unionByName(events.where(~has_key(same_event)))
 
     # Which events survive, found again from the few columns that decide it, so that the sessions
     # are computed from a narrow scan instead of from the full rows.
     survivors = (
-        events.where(F.col("_visitor").isNotNull() & F.col("event_ts").isNotNull())
-        .groupBy(*same_event)
+        known.groupBy(*same_event)
         .agg(F.min(F.struct(*deciding)).alias("_first"))
         .select("_visitor", "_first.event_ts", "_first._given")
     )
+    timed = F.col("_visitor").isNotNull() & F.col("_moment").isNotNull() & F.col("_page").isNull()
+    survivors = survivors.unionByName(events.where(timed).select("_visitor", "event_ts", "_given"))
     sessions = session_slices(
         survivors, ["_visitor", "_given"], "event_ts", gap_minutes, slice_minutes, "_given"
     ).withColumnsRenamed({"_visitor": "_v", "_given": "_g", "_slice": "_s"})
@@ -83,15 +86,16 @@ def dedup_clickstream(
 
 
 def _bot_score() -> Column:
-    """Thousandths of events per minute in whole numbers; a session counts as a minute at least.
+    """Events per minute; a session counts as a minute at least.
 
-    The product is a decimal, since a session of a very busy visitor would overflow 64 bits.
+    The whole part and the billionths are divided apart, since a decimal quotient is rounded to six
+    decimals.
     """
-    lasted = F.greatest(F.col("session_end") - F.col("session_start"), F.lit(MICROS_PER_MINUTE))
-    per_minute = F.col("session_events").cast("decimal(20,0)") * F.lit(1000 * MICROS_PER_MINUTE).cast("decimal(11,0)")
-    thousandths = F.call_function("div", per_minute, lasted.cast("decimal(20,0)"))
-    capped = F.least(thousandths, F.lit(MAX_SCORE_THOUSANDTHS)).cast("decimal(4,0)")
-    score = (capped * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(4,3)").cast(NUMERIC)
+    lasted = F.greatest(F.col("session_end") - F.col("session_start"), F.lit(MICROS_PER_MINUTE)).cast("decimal(20,0)")
+    events = F.col("session_events").cast("decimal(20,0)") * F.lit(MICROS_PER_MINUTE).cast("decimal(8,0)")
+    whole = F.call_function("div", events, lasted).cast("decimal(20,0)")
+    rest = F.call_function("div", (events % lasted) * F.lit(UNIT).cast("decimal(10,0)"), lasted).cast("decimal(10,0)")
+    score = from_billionths((whole * F.lit(UNIT).cast("decimal(10,0)") + rest).cast("decimal(38,0)"))
     return F.when(F.col("session_events").isNotNull(), score)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.contracts import STAGING
 from millrace.functions.text import address_hash, digits, normal_email
-from millrace.operators.latest import latest_per_key
+from millrace.operators.latest import has_key, latest_per_key, without_key
 from millrace.plans.addresses import ADDRESS
 
 TRACKED = ["email_norm", "phone_norm", "first_name", "last_name", *ADDRESS, "geocoded_lat", "geocoded_lon"]
@@ -24,9 +24,9 @@ def cleansed_customers(
     """Latest sign-up per customer, with its coordinates, where any tracked column changed.
 
     ``history`` is the table of earlier loads; a customer's newest row in it is the one to differ
-    from.
+    from. Sign-ups without a customer are left out; ``unkeyed_customers`` lists them.
     """
-    latest = latest_per_key(customer_signups, ["customer_id"], ["signup_date"])
+    latest = latest_per_key(customer_signups.where(has_key(["customer_id"])), ["customer_id"], ["signup_date"])
     cleaned = latest.select(
         "customer_id",
         normal_email(F.col("email")).alias("email_norm"),
@@ -53,8 +53,15 @@ def cleansed_customers(
     stamped = tracked.withColumn("eff_from_ts", loaded).withColumn("load_date", F.to_date(loaded))
     if history is not None:
         known = latest_per_key(
-            history.select("customer_id", "record_hash", "eff_from_ts"), ["customer_id"], ["eff_from_ts"]
+            history.where(has_key(["customer_id"])).select("customer_id", "record_hash", "eff_from_ts"),
+            ["customer_id"],
+            ["eff_from_ts"],
         ).select(F.col("customer_id").alias("_customer"), F.col("record_hash").alias("_hash"))
         same = (F.col("customer_id") == F.col("_customer")) & (F.col("record_hash") == F.col("_hash"))
         stamped = stamped.join(known, same, "left_anti")
     return stamped.select(*STAGING["cleansed_customers"].names)
+
+
+def unkeyed_customers(customer_signups: DataFrame) -> DataFrame:
+    """Sign-ups without a customer, in the form of the quarantine."""
+    return without_key(customer_signups, STAGING["cleansed_customers"].table, ["customer_id"])

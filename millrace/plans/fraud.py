@@ -11,7 +11,7 @@ from millrace.contracts import STAGING
 from millrace.functions.types import NUMERIC
 from millrace.operators.trailing import trailing_summary
 
-MEDIUM_FROM, HIGH_FROM = "0.3", "0.7"
+MEDIUM_FROM, HIGH_FROM = 0.3, 0.7
 
 
 def fraud_scored(
@@ -22,8 +22,9 @@ def fraud_scored(
     slice_minutes: int = 10,
 ) -> DataFrame:
     """Greatest score and distinct reasons among the customer's signals in the span up to the
-    transaction. Scores that are not numbers are ignored. Without ``scored_at`` a transaction counts
-    as scored at its own time."""
+    transaction. Scores that are not numbers are ignored. A score that NUMERIC cannot hold, such as
+    an infinite one, is NULL but keeps its band, and ``unfit_scores`` lists the row. Without
+    ``scored_at`` a transaction counts as scored at its own time."""
     sales = pos_transactions.select("txn_id", "customer_id", "txn_ts")
     score = F.when(~F.isnan("score"), F.col("score"))
     summary = trailing_summary(
@@ -44,19 +45,29 @@ def fraud_scored(
     )
     joined = keyed.join(summary.withColumnRenamed("key", "_key"), matched, "left")
 
-    narrow = F.coalesce(F.col("score").try_cast("decimal(5,4)"), F.lit(0).cast("decimal(5,4)"))
+    greatest = F.coalesce(F.col("score"), F.lit(0.0))
     at = F.col("txn_ts") if scored_at is None else F.lit(scored_at.isoformat(sep=" ")).cast("timestamp")
     band = (
-        F.when(narrow >= F.lit(HIGH_FROM).cast("decimal(5,4)"), "high")
-        .when(narrow >= F.lit(MEDIUM_FROM).cast("decimal(5,4)"), "medium")
+        F.when(greatest >= HIGH_FROM, "high")
+        .when(greatest >= MEDIUM_FROM, "medium")
         .otherwise("low")
     )
     return joined.select(
         "txn_id",
         "customer_id",
-        narrow.cast(NUMERIC).alias("fraud_score"),
+        greatest.try_cast(NUMERIC).alias("fraud_score"),
         band.alias("risk_band"),
         F.coalesce(F.col("codes"), F.array().cast("array<string>")).alias("signals"),
         at.alias("scored_at"),
         F.to_date(at).alias("score_date"),
     ).select(*STAGING["fraud_scored"].names)
+
+
+def unfit_scores(scored: DataFrame) -> DataFrame:
+    """Scored transactions whose score NUMERIC cannot hold, in the form of the quarantine."""
+    contract = STAGING["fraud_scored"]
+    return scored.where(F.col("fraud_score").isNull()).select(
+        F.lit(contract.table).alias("table_name"),
+        F.array(F.lit("fraud_score")).alias("failed_columns"),
+        F.to_json(F.struct(*contract.names)).alias("original"),
+    )

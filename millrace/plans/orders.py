@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 
 from millrace.contracts import STAGING
 from millrace.functions.keys import parse_timestamp
+from millrace.functions.numbers import billionths, from_billionths
 from millrace.functions.types import NUMERIC
-from millrace.operators.latest import latest_per_key
+from millrace.operators.latest import has_key, latest_per_key
 
-INVOICE_DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm", "yyyy-MM-dd")
-
-# decimal(36,9) keeps two additions within 38 digits without losing any of the nine decimals.
-ADDEND = "decimal(36,9)"
+INVOICE_DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "M/d/yyyy H:mm", "yyyy-MM-dd")
 
 
 def cleansed_orders(
@@ -24,16 +22,39 @@ def cleansed_orders(
     """One row per order of each feed: till records as they are, retail lines summed by invoice.
 
     A till record sent more than once counts with its latest version. Retail lines are unique per
-    invoice after the sum, so only the till side is reduced to the latest.
+    invoice after the sum, so only the till side is reduced to the latest. Till records without a
+    number and lines without an invoice are orders of their own. Amounts are exact to nine decimals;
+    one that does not fit is NULL, and ``unfit_orders`` lists its row.
     """
-    both = _from_tills(pos_transactions).unionByName(_from_retail(sales_retail, invoice_date_formats))
-    net = (
-        F.col("gross_amount").cast(ADDEND)
-        - F.coalesce(F.col("discount"), F.lit(0)).cast(ADDEND)
-        + F.coalesce(F.col("tax"), F.lit(0)).cast(ADDEND)
+    return _orders(pos_transactions, sales_retail, invoice_date_formats).select(*STAGING["cleansed_orders"].names)
+
+
+def unfit_orders(
+    pos_transactions: DataFrame,
+    sales_retail: DataFrame,
+    invoice_date_formats: tuple[str, ...] = INVOICE_DATE_FORMATS,
+) -> DataFrame:
+    """Orders with an amount that DECIMAL(38,9) cannot hold, in the form of the quarantine."""
+    contract = STAGING["cleansed_orders"]
+    orders = _orders(pos_transactions, sales_retail, invoice_date_formats)
+    return orders.where(F.size("_failed") > 0).select(
+        F.lit(contract.table).alias("table_name"),
+        F.col("_failed").alias("failed_columns"),
+        F.to_json(F.struct(*contract.names)).alias("original"),
     )
-    orders = both.withColumn("net_amount", net.cast(NUMERIC)).withColumn("order_date", F.to_date("txn_ts"))
-    return orders.select(*STAGING["cleansed_orders"].names)
+
+
+def _orders(pos_transactions: DataFrame, sales_retail: DataFrame, formats: tuple[str, ...]) -> DataFrame:
+    both = _from_tills(pos_transactions).unionByName(_from_retail(sales_retail, formats))
+    zero = F.lit(0).cast("decimal(38,0)")
+    discount, tax = (F.coalesce(billionths(F.col(c)), zero) for c in ("discount", "tax"))
+    less = F.try_subtract(billionths(F.col("gross_amount")), discount).cast("decimal(38,0)")
+    net = from_billionths(F.try_add(less, tax).cast("decimal(38,0)"))
+    orders = both.withColumn("net_amount", net).withColumn("order_date", F.to_date("txn_ts"))
+    gross_lost = F.col("_lines_with_amount") & F.col("gross_amount").isNull()
+    net_lost = F.col("gross_amount").isNotNull() & F.col("net_amount").isNull()
+    failed = [F.when(gross_lost, "gross_amount"), F.when(net_lost, "net_amount")]
+    return orders.withColumn("_failed", F.array_compact(F.array(*failed)))
 
 
 def _from_tills(pos_transactions: DataFrame) -> DataFrame:
@@ -48,8 +69,10 @@ def _from_tills(pos_transactions: DataFrame) -> DataFrame:
         F.col("tax_amount").alias("tax"),
         "tender_type",
         F.lit("pos").alias("source_feed"),
+        F.lit(False).alias("_lines_with_amount"),
     )
-    return latest_per_key(renamed, ["order_id"], ["txn_ts"])
+    numbered = latest_per_key(renamed.where(has_key(["order_id"])), ["order_id"], ["txn_ts"])
+    return numbered.unionByName(renamed.where(~has_key(["order_id"])))
 
 
 def _from_retail(sales_retail: DataFrame, formats: tuple[str, ...]) -> DataFrame:
@@ -58,32 +81,40 @@ def _from_retail(sales_retail: DataFrame, formats: tuple[str, ...]) -> DataFrame
         "customer_id",
         parse_timestamp(F.col("invoice_date"), formats).alias("txn_ts"),
         _line_amount(F.col("quantity"), F.col("unit_price")).alias("amount"),
-    )
+        (F.col("quantity").isNotNull() & F.col("unit_price").isNotNull()).alias("_given"),
+    ).withColumn("unfit", F.col("_given") & F.col("amount").isNull()).drop("_given")
     zero = F.lit(0).cast(NUMERIC)
-    return (
-        lines.groupBy("invoice_no")
-        .agg(
-            F.max("customer_id").alias("customer_id"),
-            F.max("txn_ts").alias("txn_ts"),
-            F.count(F.lit(1)).alias("line_count"),
-            F.sum("amount").cast(NUMERIC).alias("gross_amount"),
-        )
-        .select(
-            F.col("invoice_no").alias("order_id"),
-            "customer_id",
-            "invoice_no",
-            "txn_ts",
-            "line_count",
-            "gross_amount",
-            zero.alias("discount"),
-            zero.alias("tax"),
-            F.lit(None).cast("string").alias("tender_type"),
-            F.lit("retail").alias("source_feed"),
-        )
+    invoices = lines.where(has_key(["invoice_no"])).groupBy("invoice_no").agg(
+        F.max("customer_id").alias("customer_id"),
+        F.max("txn_ts").alias("txn_ts"),
+        F.count(F.lit(1)).alias("line_count"),
+        # A line that does not fit leaves its invoice without an amount.
+        F.when(F.count_if("unfit") == 0, F.try_sum("amount")).alias("amount"),
+        (F.count_if("unfit") + F.count("amount") > 0).alias("_lines_with_amount"),
+    )
+    single = lines.where(~has_key(["invoice_no"])).select(
+        "invoice_no",
+        "customer_id",
+        "txn_ts",
+        F.lit(1).cast("bigint").alias("line_count"),
+        "amount",
+        (F.col("unfit") | F.col("amount").isNotNull()).alias("_lines_with_amount"),
+    )
+    return invoices.unionByName(single).select(
+        F.col("invoice_no").alias("order_id"),
+        "customer_id",
+        "invoice_no",
+        "txn_ts",
+        "line_count",
+        from_billionths(F.col("amount")).alias("gross_amount"),
+        zero.alias("discount"),
+        zero.alias("tax"),
+        F.lit(None).cast("string").alias("tender_type"),
+        F.lit("retail").alias("source_feed"),
+        "_lines_with_amount",
     )
 
 
 def _line_amount(quantity: Column, unit_price: Column) -> Column:
-    """Exact to nine decimals for usual sizes; Spark's own rounding to six beyond them."""
-    exact = quantity.try_cast("decimal(10,0)") * unit_price.try_cast("decimal(27,9)")
-    return F.coalesce(exact, (quantity * unit_price).cast("decimal(38,9)"))
+    """Billionths of quantity times price, NULL where they do not fit 38 digits."""
+    return F.try_multiply(billionths(unit_price), quantity.cast("decimal(20,0)")).cast("decimal(38,0)")

@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from millrace.contracts import STAGING
 from millrace.functions.text import normal_text
-from millrace.operators.latest import latest_per_key
+from millrace.operators.latest import has_key, latest_per_key, without_key
 
 
 def cleansed_products(product_catalog_feed: DataFrame, load_date: date) -> DataFrame:
     """Newest feed row per product. A product is available from its first day until the day before
-    it is discontinued; a missing end leaves that side open."""
+    it is discontinued; a missing end leaves that side open. Feed rows without a product number are
+    left out; ``unkeyed_products`` lists them."""
     day = F.lit(load_date.isoformat()).cast("date")
-    latest = latest_per_key(product_catalog_feed.drop("metadata"), ["sku"], ["feed_date"])
+    numbered = product_catalog_feed.drop("metadata").where(has_key(["sku"]))
+    latest = latest_per_key(numbered, ["sku"], ["feed_date"])
     started = F.coalesce(day >= F.col("available_from"), F.lit(True))
     going_on = F.coalesce(day < F.col("discontinued_at"), F.lit(True))
     return latest.select(
@@ -33,3 +35,8 @@ def cleansed_products(product_catalog_feed: DataFrame, load_date: date) -> DataF
         (started & going_on).alias("available"),
         day.alias("load_date"),
     ).select(*STAGING["cleansed_products"].names)
+
+
+def unkeyed_products(product_catalog_feed: DataFrame) -> DataFrame:
+    """Feed rows without a product number, in the form of the quarantine."""
+    return without_key(product_catalog_feed, STAGING["cleansed_products"].table, ["sku"])

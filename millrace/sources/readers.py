@@ -59,6 +59,7 @@ def read_delimited(
     settings = {
         "sep": "\t" if tab else ",",
         "quote": "" if tab else '"',
+        "escape": "\\" if tab else '"',  # a quote inside quotes is doubled
         "nullValue": NULL_MARK,
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": BAD_RECORD,
