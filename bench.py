@@ -24,8 +24,12 @@ HEADLINE = [
     "land_sales_retail",
     "land_omniture_logs",
     "land_mobile_events",
+    "write_hour",
     "write_month",
     "write_day",
+    "write_cluster",
+    "write_cluster_two",
+    "read_pruned",
     "cleansed_orders",
     "cleansed_customers",
     "cleansed_products",

@@ -18,7 +18,7 @@ from millrace.plans.fraud import fraud_scored as score
 from millrace.plans.loyalty import parsed_loyalty_events
 from millrace.plans.orders import cleansed_orders as cleanse_orders
 from millrace.plans.products import cleansed_products as cleanse_products
-from millrace.plans.returns import merged_returns_cdc
+from millrace.plans.returns import merged_returns_cdc, returns_state, unkeyed_returns
 from millrace.plans.warehouse import warehouse_kpi_snapshot
 
 QUERIES = {}
@@ -399,7 +399,7 @@ def merged_cdc_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same changes folded in two loads come to the same snapshot."""
     changes = _changes(spark, sf_dir)
     middle = F.lit("2024-01-20").cast("date")
-    first = merged_returns_cdc(changes.where(F.col("snapshot_date") < middle), date(2024, 1, 19))
+    first = returns_state(changes.where(F.col("snapshot_date") < middle))
     rest = changes.where(F.col("snapshot_date") >= middle)
     return _merged(merged_returns_cdc(rest, date(2024, 1, 31), previous=first))
 

@@ -20,6 +20,7 @@ from millrace.functions.types import cast_failed, cast_to
 BAD_RECORD = "_bad"
 FAILED = "_failed"
 ORIGINAL = "_original"
+DROP = "_drop"
 
 KEY_RULES: dict[str, Callable[[], Column]] = {
     "hour_text": lambda: keys.hour_from_text(F.col("date_ts")),
@@ -33,7 +34,10 @@ KEY_RULES: dict[str, Callable[[], Column]] = {
 
 @dataclass(frozen=True)
 class Landing:
-    """A conformed feed: ``rows`` go to the table, ``quarantine`` lists what did not fit."""
+    """A conformed feed: ``rows`` go to the table, ``quarantine`` lists what did not fit.
+
+    ``checked`` holds both, and with each row the name of its drop.
+    """
 
     contract: Contract
     checked: DataFrame
@@ -44,7 +48,13 @@ class Landing:
 
     @property
     def quarantine(self) -> DataFrame:
+        return self.unfit.drop(DROP)
+
+    @property
+    def unfit(self) -> DataFrame:
+        """The quarantine with the drop of each row."""
         return self.checked.where(F.col(ORIGINAL).isNotNull()).select(
+            DROP,
             F.lit(self.contract.table).alias("table_name"),
             F.col(FAILED).alias("failed_columns"),
             F.col(ORIGINAL).alias("original"),
@@ -69,8 +79,14 @@ def conform(feed: DataFrame, contract: Contract) -> Landing:
     failed_names = F.array_compact(F.array(*failures)) if failures else F.array().cast("array<string>")
     source = F.to_json(F.struct(*[F.col(n) for n in present if n not in (BAD_RECORD, "_key_text")]))
     bad = F.col(BAD_RECORD) if BAD_RECORD in present else F.lit(None).cast("string")
+    folders = [
+        F.concat(F.lit(f"{n}="), F.coalesce(F.col(n).cast("string"), F.lit("")))
+        for n in contract.feed.delivered
+        if n in present
+    ]
     checked = feed.select(
         *values,
+        F.concat_ws("&", *folders).alias(DROP),
         failed_names.alias(FAILED),
         F.when((F.size(failed_names) > 0) | bad.isNotNull(), F.coalesce(bad, source)).alias(ORIGINAL),
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+import uuid
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +11,13 @@ from pyspark.sql import types as T
 
 from millrace.contracts import Contract, Key
 from millrace.functions.numbers import has_double, normalize_zero
+from millrace.operators.conform import DROP
 
 PART = "_p"
 
-# How a grain is written in folder names, for Spark and for Python.
-GRAIN_FORMATS = {"hour": ("yyyyMMddHH", "%Y%m%d%H"), "day": ("yyyyMMdd", "%Y%m%d"), "month": ("yyyyMM", "%Y%m")}
+# How a grain is written in folder names. Times are written in UTC.
+GRAIN_FORMATS = {"hour": "%Y%m%d%H", "day": "%Y%m%d", "month": "%Y%m"}
+SECONDS = {"hour": 3600, "day": 86_400}
 
 
 def partition_column(key: Key) -> str:
@@ -28,13 +31,19 @@ def partition_columns(contract: Contract) -> list[str]:
 
 
 def partition_value(key: Key) -> Column:
-    """The stored partition value recomputed from the key column."""
+    """The stored partition value recomputed from the key column, the same in any session zone."""
     if key.grain == "date":
         return F.col(key.column)
-    return F.date_format(F.col(key.column), GRAIN_FORMATS[key.grain][0])
+    if key.grain == "month":
+        return F.date_format(F.col(key.column), "yyyyMM")
+    seconds = F.unix_seconds(F.col(key.column))
+    day = F.floor(seconds / 86_400).cast("int")
+    text = F.date_format(F.date_from_unix_date(day), "yyyyMMdd")
+    hour = F.floor(F.pmod(seconds, F.lit(86_400)) / 3600).cast("string")
+    return F.concat(text, F.lpad(hour, 2, "0")) if key.grain == "hour" else text
 
 
-def place(df: DataFrame, contract: Contract) -> DataFrame:
+def place(df: DataFrame, contract: Contract, above: tuple[str, ...] = ()) -> DataFrame:
     """Bring rows of one partition together without putting a hot partition into one task.
 
     Without cluster columns, a rebalance by key lets AQE cut large partitions and merge small ones
@@ -46,9 +55,9 @@ def place(df: DataFrame, contract: Contract) -> DataFrame:
     if contract.key.grain != "date":
         df = df.withColumn(PART, partition_value(contract.key))
     if not contract.cluster:
-        return df.hint("rebalance", *partition_columns(contract))
+        return df.hint("rebalance", *above, *partition_columns(contract))
     hashed = [f.name for f in contract.schema.fields if not isinstance(f.dataType, T.VariantType)]
-    order = [part, *contract.cluster]
+    order = [*above, part, *contract.cluster]
     return df.repartitionByRange(*order, F.xxhash64(*hashed)).sortWithinPartitions(*order)
 
 
@@ -60,12 +69,8 @@ def write_table(
     ``mode="replace"`` replaces the table, ``mode="partitions"`` only the partitions in ``df``.
     """
     overwrite = {"replace": "static", "partitions": "dynamic"}[mode]
-    columns = [
-        normalize_zero(F.col(f.name), f.dataType).alias(f.name) if has_double(f.dataType) else F.col(f.name)
-        for f in contract.schema.fields
-    ]
     (
-        place(df.select(*columns), contract)
+        place(df.select(*_stored_columns(contract)), contract)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("maxRecordsPerFile", max_records_per_file)
@@ -74,6 +79,53 @@ def write_table(
     )
 
 
+def _stored_columns(contract: Contract) -> list[Column]:
+    return [
+        normalize_zero(F.col(f.name), f.dataType).alias(f.name) if has_double(f.dataType) else F.col(f.name)
+        for f in contract.schema.fields
+    ]
+
+
+def write_drops(df: DataFrame, path: str, contract: Contract, named: str | None = None) -> list[str]:
+    """Replace all rows of the drops that ``df`` holds in its column ``_drop``, and no others.
+
+    A drop is the first folder level, above the key, so siblings of one hour and days that a drop no
+    longer has cannot be confused. ``named`` is a drop that came even if it has no row. Returns the
+    folder names of the drops that have rows.
+    """
+    rows = place(df.select(DROP, *_stored_columns(contract)), contract, (DROP,))
+    return replace_folders(rows, path, [DROP, *partition_columns(contract)], drop_folders(rows, named))
+
+
+def drop_folders(df: DataFrame, named: str | None) -> list[str]:
+    """The folder name of a drop, escaped as Spark does."""
+    if named is None:
+        return []
+    catalog = df.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog
+    return [f"{DROP}={catalog.ExternalCatalogUtils.escapePathName(named)}"]
+
+
+def replace_folders(rows: DataFrame, path: str, folders: list[str], came: list[str]) -> list[str]:
+    """Write rows below ``path`` by folder columns, and replace the folders of the first column that
+    were written or came. Rows are written aside and then put in place folder by folder. Returns the
+    names of the folders written."""
+    spark = rows.sparkSession
+    aside = f"{path.rstrip('/')}/_loading-{uuid.uuid4().hex}"
+    rows.write.partitionBy(*folders).parquet(aside)
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    files = paths(aside).getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [s.getPath() for s in files.listStatus(paths(aside)) if s.isDirectory() and "=" in s.getPath().getName()]
+    for name in came:
+        files.delete(paths(path, name), True)
+    for folder in done:
+        target = paths(path, folder.getName())
+        files.delete(target, True)
+        if not files.rename(folder, target):
+            raise OSError(f"{folder} cannot be moved to {target}")
+    files.delete(paths(aside), True)
+    return sorted(folder.getName() for folder in done)
+
+
 def stored_table(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """The files as stored, with the partition value as text."""
     schema = T.StructType(list(contract.schema.fields))
@@ -83,7 +135,7 @@ def stored_table(spark: SparkSession, path: str, contract: Contract) -> DataFram
 
 
 def between(df: DataFrame, key: Key, since: date | None, until: date | None) -> DataFrame:
-    """Rows with ``since <= key < until``.
+    """Rows with ``since <= key < until``. Bounds without a zone are in UTC.
 
     The same bounds go on the stored partition value, because Spark cannot see that it is computed
     from the key; with them the scan lists only matching folders.
@@ -95,14 +147,23 @@ def between(df: DataFrame, key: Key, since: date | None, until: date | None) ->
     ):
         if bound is None:
             continue
-        df = df.where(keep_key(F.col(key.column), F.lit(_literal(bound)).cast(column_type)))
+        df = df.where(keep_key(F.col(key.column), F.lit(_literal(bound, column_type)).cast(column_type)))
         if key.grain != "date":
-            df = df.where(keep_part(F.col(PART), F.lit(bound.strftime(GRAIN_FORMATS[key.grain][1]))))
+            df = df.where(keep_part(F.col(PART), F.lit(_utc(bound).strftime(GRAIN_FORMATS[key.grain]))))
     return df
 
 
-def _literal(bound: date) -> str:
-    return bound.isoformat(sep=" ") if isinstance(bound, datetime) else bound.isoformat()
+def _utc(bound: date) -> date:
+    aware = isinstance(bound, datetime) and bound.tzinfo is not None
+    return bound.astimezone(timezone.utc).replace(tzinfo=None) if aware else bound
+
+
+def _literal(bound: date, column_type: str) -> str:
+    bound = _utc(bound)
+    if column_type == "date":
+        return bound.strftime("%Y-%m-%d")
+    moment = bound if isinstance(bound, datetime) else datetime(bound.year, bound.month, bound.day)
+    return f"{moment.isoformat(sep=' ')}+00:00"
 
 
 def read_table(

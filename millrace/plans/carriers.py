@@ -37,8 +37,9 @@ def normalized_carrier_events(
     statuses: dict[str, str] = STATUSES,
 ) -> DataFrame:
     """Events ``shipped``, ``delivered`` and ``estimated_delivery`` at their times, and the status
-    as an event at the time of the drop when it says something else. The last part of a location is
-    its country, of three or more the one before it is the region, and the city is all before them.
+    as an event at the time of the drop when it says something else. The last of several parts of
+    a location is its country, of three or more the one before it is the region, and the city is all
+    that is left; a single part is a city.
 
     The small spelling tables are literals inside the projection, so the job has no shuffle.
     """
@@ -53,11 +54,11 @@ def normalized_carrier_events(
     parts = F.split("last_location", ",")
     count = F.size(parts)
     # The city may hold commas of its own, such as a street before it.
-    city = F.slice(parts, 1, F.greatest(count - F.when(count > 2, 2).otherwise(1), F.lit(0)))
+    city = F.slice(parts, 1, count - F.least(count - 1, F.lit(2)))
     location = {
-        "city": F.array_join(F.filter(F.transform(city, F.trim), lambda part: part != ""), ", "),
+        "city": F.array_join(F.filter(F.transform(city, lambda part: F.trim(part)), lambda part: part != ""), ", "),
         "region": F.when(count > 2, F.element_at(parts, -2)),
-        "country": F.element_at(parts, -1),
+        "country": F.when(count > 1, F.element_at(parts, -1)),
     }
     events = shipment_tracking.select(
         "tracking_no",

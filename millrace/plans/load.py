@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.contracts import RAW, Contract
-from millrace.operators.conform import ORIGINAL, conform
-from millrace.operators.layout import write_table
+from millrace.operators.conform import DROP, ORIGINAL
+from millrace.operators.layout import drop_folders, replace_folders, write_drops
 from millrace.sources.landing import land
 from millrace.sources.readers import Values
 
@@ -16,15 +17,6 @@ def table_path(warehouse: str, contract: Contract) -> str:
     return f"{warehouse.rstrip('/')}/{contract.layer}/{contract.name}"
 
 
-def _check_drop_name(spark: SparkSession, contract: Contract, values: dict[str, str]) -> None:
-    """A drop whose name gives no key would replace the NULL partition of others like it."""
-    if contract.drop:
-        return
-    name = spark.range(1).select(*[F.lit(v).cast("string").alias(n) for n, v in values.items()])
-    if conform(name, contract).rows.where(F.col(contract.key.column).isNull()).count():
-        raise ValueError(f"{contract.table} cannot be loaded under {values}: no key can be read from it")
-
-
 def load_feed(
     spark: SparkSession,
     feed: str,
@@ -32,28 +24,32 @@ def load_feed(
     warehouse: str,
     quarantine: str,
     partition_values: Values = None,
-    mode: str = "partitions",
     **options,
 ) -> int:
-    """Land a drop, write its partitions, and list the rows that did not fit in a folder of the
-    drop's own under ``quarantine``. Returns how many those are. Loading a drop again replaces both.
-
-    Whether any row did not fit is observed while the table is written, so the drop is read a second
-    time only if there is something to list. The observed number itself is not used, since it counts
-    a row twice when a task is run again or a clustered write samples its rows.
+    """Land a drop and replace all it brought before: its rows, in whichever partitions they lie, and
+    its list of rows that did not fit. Returns how many those are. Other drops stay as they are, also
+    those of the same hour or day.
+
+    With no values given, all drops found in folders under ``path`` are loaded, each under its own
+    name. Whether any row did not fit is observed while the table is written, so the drop is read a
+    second time only if there is something to list. The observed number itself is not used, since it
+    counts a row twice when a task is run again or a clustered write samples its rows.
     """
     contract = RAW[feed]
-    if partition_values:
-        _check_drop_name(spark, contract, partition_values)
     landing = land(spark, feed, path, partition_values, **options)
     seen = Observation()
     observed = landing.checked.observe(seen, F.count(F.col(ORIGINAL)).alias("unfit"))
-    write_table(observed.select(*contract.names), table_path(warehouse, contract), contract, mode)
+    named = None
+    if partition_values:
+        named = "&".join(f"{n}={partition_values[n]}" for n in contract.feed.delivered if n in partition_values)
+    filled = write_drops(observed.select(DROP, *contract.names), table_path(warehouse, contract), contract, named)
 
-    listed = landing.quarantine
-    if not seen.get["unfit"]:
+    listed = landing.unfit.select(DROP, "table_name", "failed_columns", "original")
+    # Of an empty drop nothing is observed.
+    if not filled or not seen.get["unfit"]:
         listed = spark.createDataFrame([], listed.schema)
-    drop = "-".join((partition_values or {"drop": "all"}).values())
-    target = f"{quarantine.rstrip('/')}/{feed}/{drop}"
-    listed.write.mode("overwrite").parquet(target)
-    return spark.read.schema(listed.schema).parquet(target).count()
+    target = f"{quarantine.rstrip('/')}/{feed}"
+    came = sorted({*filled, *drop_folders(listed, named)})
+    bad = [f"{target}/{name}" for name in replace_folders(listed, target, [DROP], came)]
+    schema = T.StructType(list(listed.schema.fields)[1:])
+    return spark.read.schema(schema).parquet(*bad).count() if bad else 0

@@ -8,9 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.contracts import STAGING
-from millrace.operators.latest import latest_per_key
+from millrace.operators.latest import has_key, latest_per_key, without_key
 
-NEWEST_FIRST = ["snapshot_date", "return_ts", "is_deleted"]
+CHANGED = "change_date"
+NEWEST_FIRST = [CHANGED, "return_ts", "is_deleted"]
+DATA = [c for c in STAGING["merged_returns_cdc"].names if c != "snapshot_date"]
+
+
+def returns_state(
+    changes: DataFrame, previous: DataFrame | None = None, delete_ops: tuple[str, ...] = ("D",)
+) -> DataFrame:
+    """The newest version of each return with the date of its change.
+
+    Newest is by change date, then time, then deletion, then all columns. The declared snapshot holds
+    no change date, so this state is kept beside it: without the date, a change that arrives after a
+    later snapshot would look older than it is. Changes are reduced to one row per return before
+    they meet the state of the load before, which is unique already and so is shuffled and sorted
+    only once. Changes without a return are left out; ``unkeyed_returns`` lists them.
+    """
+    marked = changes.withColumn("is_deleted", F.coalesce(F.upper("op").isin(*delete_ops), F.lit(False)))
+    dated = marked.where(has_key(["return_id"])).withColumnRenamed("snapshot_date", CHANGED)
+    newest = latest_per_key(dated.select(*DATA, CHANGED), ["return_id"], NEWEST_FIRST)
+    return newest if previous is None else _newer_of(previous.select(*DATA, CHANGED), newest)
+
+
+def returns_snapshot(state: DataFrame, snapshot_date: date) -> DataFrame:
+    """The declared table of a state. A deleted return stays as a marked row, and a later change
+    brings it back."""
+    today = F.lit(snapshot_date.isoformat()).cast("date")
+    return state.withColumn("snapshot_date", today).select(*STAGING["merged_returns_cdc"].names)
 
 
 def merged_returns_cdc(
@@ -19,27 +45,20 @@ def merged_returns_cdc(
     previous: DataFrame | None = None,
     delete_ops: tuple[str, ...] = ("D",),
 ) -> DataFrame:
-    """The newest version of each return, by change date, then time, then deletion, then all columns.
+    """The snapshot of a date; ``previous`` is the ``returns_state`` of the load before."""
+    return returns_snapshot(returns_state(changes, previous, delete_ops), snapshot_date)
 
-    A deleted return stays as a marked row, and a later change brings it back. Changes are reduced
-    to one row per return before they meet the previous snapshot, which is unique already and so is
-    shuffled and sorted only once.
-    """
-    data = [c for c in STAGING["merged_returns_cdc"].names if c not in ("is_deleted", "snapshot_date")]
-    columns = [*data, "is_deleted", "snapshot_date"]
-    marked = changes.withColumn("is_deleted", F.coalesce(F.upper("op").isin(*delete_ops), F.lit(False)))
-    newest = latest_per_key(marked.select(*columns), ["return_id"], NEWEST_FIRST)
-    if previous is not None:
-        newest = _newer_of(previous.select(*columns), newest, columns)
-    today = F.lit(snapshot_date.isoformat()).cast("date")
-    return newest.withColumn("snapshot_date", today).select(*STAGING["merged_returns_cdc"].names)
+
+def unkeyed_returns(changes: DataFrame) -> DataFrame:
+    """Changes without a return, in the form of the quarantine."""
+    return without_key(changes, STAGING["merged_returns_cdc"].table, ["return_id"])
 
 
-def _newer_of(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:
+def _newer_of(old: DataFrame, new: DataFrame) -> DataFrame:
     """For each return of either side, the version that sorts later."""
-    rank = F.struct(*NEWEST_FIRST, *[c for c in columns if c not in NEWEST_FIRST])
+    rank = F.struct(*NEWEST_FIRST, *[c for c in DATA if c not in NEWEST_FIRST])
     left = old.select(F.col("return_id").alias("_old_id"), rank.alias("_old"))
     right = new.select(F.col("return_id").alias("_new_id"), rank.alias("_new"))
-    both = left.join(right, F.col("_old_id").eqNullSafe(F.col("_new_id")), "full")
+    both = left.join(right, F.col("_old_id") == F.col("_new_id"), "full")
     newer = F.when(F.col("_new").isNull() | (F.col("_old") > F.col("_new")), F.col("_old")).otherwise(F.col("_new"))
-    return both.select(newer.alias("_row")).select("_row.*").select(*columns)
+    return both.select(newer.alias("_row")).select("_row.*").select(*DATA, CHANGED)

@@ -17,9 +17,14 @@ def warehouse_kpi_snapshot(
     grain: str = "HOUR",
     in_types: tuple[str, ...] = ("IN", "RECEIPT"),
     shipped_types: tuple[str, ...] = ("OUT", "SHIP"),
+    opening: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (warehouse, hour) with any movement or pick.
 
+    ``opening`` has the backlog of each warehouse before the rows given, so that a day can be loaded
+    without the days before it; ``closing_backlog`` makes the next one. The pick rate is of the picks
+    with a duration.
+
     Both inputs are stacked and summed once, which gives what a full outer join of two sums gives
     with half the shuffles. The backlog runs over those sums, so a warehouse with very many rows
     still has one row per hour in the window.
@@ -45,6 +50,7 @@ def warehouse_kpi_snapshot(
         F.col("quantity").alias("units_picked"),
         "duration_ms",
     )
+    timed = F.when(F.col("duration_ms").isNotNull(), F.col("units_picked"))
     summed = (
         moved.unionByName(picked)
         .groupBy("warehouse_id", "snapshot_ts")
@@ -54,11 +60,17 @@ def warehouse_kpi_snapshot(
                 for c in ("units_in", "units_picked", "units_shipped")
             ],
             F.sum("duration_ms").alias("pick_ms"),
+            F.coalesce(F.sum(timed), F.lit(0)).alias("timed_units"),
             F.count("duration_ms").alias("timed_picks"),
         )
     )
     so_far = Window.partitionBy("warehouse_id").orderBy("snapshot_ts").rowsBetween(Window.unboundedPreceding, 0)
-    hundredths = _half_up(_wide("units_picked") * F.lit(100 * MILLIS_PER_HOUR).cast("decimal(12,0)"), _wide("pick_ms"))
+    hundredths = _half_up(_wide("timed_units") * F.lit(100 * MILLIS_PER_HOUR).cast("decimal(12,0)"), _wide("pick_ms"))
+    before = F.lit(0).cast("bigint")
+    if opening is not None:
+        brought = opening.select(F.col("warehouse_id").alias("_warehouse"), F.col("backlog_units").alias("_opening"))
+        summed = summed.join(brought, F.col("warehouse_id").eqNullSafe(F.col("_warehouse")), "left")
+        before = F.coalesce("_opening", before)
     rate = hundredths.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")
     return summed.select(
         "warehouse_id",
@@ -67,12 +79,23 @@ def warehouse_kpi_snapshot(
         "units_picked",
         "units_shipped",
         rate.cast(NUMERIC).alias("pick_rate_uph"),
-        F.sum(F.col("units_picked") - F.col("units_shipped")).over(so_far).alias("backlog_units"),
+        (before + F.sum(F.col("units_picked") - F.col("units_shipped")).over(so_far)).alias("backlog_units"),
         _half_up(_wide("pick_ms"), _wide("timed_picks")).alias("avg_pick_ms"),
         F.to_date("snapshot_ts").alias("snapshot_date"),
     ).select(*STAGING["warehouse_kpi_snapshot"].names)
 
 
+def closing_backlog(snapshot: DataFrame, opening: DataFrame | None = None) -> DataFrame:
+    """(warehouse_id, backlog_units) after a snapshot; warehouses without rows in it keep theirs."""
+    last = snapshot.groupBy("warehouse_id").agg(F.max_by("backlog_units", "snapshot_ts").alias("backlog_units"))
+    if opening is None:
+        return last
+    ranked = opening.select("warehouse_id", "backlog_units", F.lit(0).alias("_turn")).unionByName(
+        last.withColumn("_turn", F.lit(1))
+    )
+    return ranked.groupBy("warehouse_id").agg(F.max_by("backlog_units", "_turn").alias("backlog_units"))
+
+
 def _wide(name: str) -> Column:
     return F.col(name).cast("decimal(20,0)")
 
@@ -80,4 +103,7 @@ def _wide(name: str) -> Column:
 def _half_up(top: Column, bottom: Column) -> Column:
     """The nearest whole number of top / bottom, halves up, NULL when bottom is 0 or missing."""
     two = F.lit(2).cast("decimal(1,0)")
-    return F.when(bottom > 0, F.call_function("div", top * two + bottom, bottom * two))
+    over, under = top * two + bottom, bottom * two
+    # Whole division goes towards zero, so a negative quotient with a rest is one too high.
+    down = F.call_function("div", over, under) - F.when((over < 0) & (over % under != 0), 1).otherwise(0)
+    return F.when(bottom > 0, down)

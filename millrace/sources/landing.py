@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.contracts import RAW
 from millrace.operators.conform import Landing, conform
-from millrace.sources.readers import Values, read_feed
+from millrace.sources.readers import Values, read_parts
 
 
 def land(spark: SparkSession, feed: str, path: str, partition_values: Values = None, **options) -> Landing:
     contract = RAW[feed]
-    return conform(read_feed(spark, contract, path, partition_values, **options), contract)
+    parts = read_parts(spark, contract, path, partition_values, **options)
+    return Landing(contract, reduce(DataFrame.unionByName, [conform(part, contract).checked for part in parts]))
 
 
 def land_frame(feed: str, frame: DataFrame) -> Landing:

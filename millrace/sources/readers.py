@@ -8,6 +8,8 @@ as lines of text and are taken apart by built-in functions.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +38,16 @@ def read_feed(
     return feed
 
 
+def read_parts(
+    spark: SparkSession, contract: Contract, path: str, partition_values: Values = None, **options: str
+) -> list[DataFrame]:
+    """The drop as one frame, or as several where its files disagree on the types of columns."""
+    if contract.feed.format != "parquet":
+        return [read_feed(spark, contract, path, partition_values, **options)]
+    added = {n: F.lit(v).cast("string") for n, v in (partition_values or {}).items()}
+    return [part.withColumns(added) for part in parquet_parts(spark, contract, path, partition_values, **options)]
+
+
 def _text_schema(contract: Contract) -> T.StructType:
     return text_type(contract.delivered_columns)
 
@@ -81,9 +93,37 @@ def read_json_lines(
 def read_parquet(
     spark: SparkSession, contract: Contract, path: str, values: Values = None, **options: str
 ) -> DataFrame:
-    """Declared types are asked of the scan, which widens integers and decimals by itself."""
-    schema = _with_folders(contract.delivered_columns, contract, values)
-    return spark.read.schema(schema).options(**options).parquet(path)
+    """A drop whose files agree."""
+    (part,) = parquet_parts(spark, contract, path, values, **options)
+    return part
+
+
+def parquet_parts(
+    spark: SparkSession, contract: Contract, path: str, values: Values = None, **options: str
+) -> list[DataFrame]:
+    """A drop with the types its files have; casts to declared types come later and list what fails.
+
+    A job over the footers merges the schemas. Where types disagree and cannot be merged, files are
+    grouped by schema; then the driver reads the footer of each file of the drop.
+    """
+    names = {f.name for f in _with_folders(contract.delivered_columns, contract, values).fields}
+
+    def read(schema: T.StructType, *files: str) -> DataFrame:
+        own = T.StructType([f for f in schema.fields if f.name in names and f.name not in contract.feed.delivered])
+        reader = spark.read.schema(_with_folders(own, contract, values)).options(**options)
+        return reader.option("basePath", path).parquet(*files) if files else reader.parquet(path)
+
+    try:
+        merged = spark.read.options(**options).option("mergeSchema", "true").parquet(path).schema
+        return [read(merged)]
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for row in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").collect():
+        schema = spark.read.options(**options).parquet(row.path).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(row.path)
+    return [read(schema, *files) for schema, files in groups.values()]
 
 
 def read_pattern_lines(

@@ -1,5 +1,5 @@
 import os
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -152,3 +152,22 @@ def test_view_reads_eight_columns(spark, table_path):
     plan = plan_of(omniture(read_table(spark, table_path, contract)))
     scanned = plan[plan.index("FileScan parquet [") :].split("]")[0]
     assert scanned.count("col_") == 7 and "partition_ts" in scanned
+
+
+def test_folders_and_bounds_are_in_utc_whatever_the_zone(spark, table_path):
+    contract = RAW["mobile_events"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        write_table(app_events(spark, 24, 24), table_path, contract)
+        assert folders(table_path) == [f"_p=20240101{h:02d}" for h in range(24)]
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        read = read_table(spark, table_path, contract, datetime(2024, 1, 1, 2), datetime(2024, 1, 1, 8))
+        assert sorted(int(r.event_id) for r in read.collect()) == [2, 3, 4, 5, 6, 7]
+        aware = datetime(2024, 1, 1, 4, tzinfo=timezone(timedelta(hours=2)))
+        assert read_table(spark, table_path, contract, since=aware).count() == 22
+        signals = raw_shaped(spark.range(3), "fraud_signals", signal_ts=F.timestamp_seconds(1704067200 - 1 + F.col("id")))
+        write_table(signals, table_path + "2", RAW["fraud_signals"])
+        assert folders(table_path + "2") == ["_p=20231231", "_p=20240101"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

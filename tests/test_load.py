@@ -1,7 +1,5 @@
 from datetime import date
 
-import pytest
-
 from millrace.contracts import RAW
 from millrace.operators.layout import read_table
 from millrace.plans.load import load_feed, table_path
@@ -68,8 +66,66 @@ def test_drops_that_share_a_day_do_not_replace_each_other(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(signal_date" in plan
 
 
-def test_a_drop_whose_name_gives_no_key_is_refused(spark, tmp_path):
-    drop = tmp_path / "a.csv"
-    drop.write_text("A,S,d,1,x,2.5,C,FR\n")
-    with pytest.raises(ValueError, match="no key"):
-        load_feed(spark, "sales_retail", str(drop), str(tmp_path / "wh"), str(tmp_path / "bad"), {"date_ts": "soon"})
+def test_drops_whose_names_give_no_key_are_kept_apart(spark, tmp_path):
+    path = table_path(str(tmp_path / "wh"), RAW["sales_retail"])
+    for name in ("soon", "later", "soon"):
+        drop = tmp_path / f"{name}.csv"
+        drop.write_text(f"{name},S,d,1,x,2.5,C,FR\n")
+        assert load_feed(spark, "sales_retail", str(drop), str(tmp_path / "wh"), str(tmp_path / "bad"), {"date_ts": name}) == 1
+    stored = read_table(spark, path, RAW["sales_retail"])
+    assert sorted(r.invoice_no for r in stored.collect()) == ["later", "soon"]
+    assert stored.where("partition_ts is null").count() == 2
+
+
+def test_siblings_of_one_hour_do_not_replace_each_other(spark, tmp_path):
+    warehouse, bad = str(tmp_path / "wh"), str(tmp_path / "bad")
+    contract = RAW["shipment_tracking"]
+
+    def load(hour, carrier, numbers):
+        drop = tmp_path / f"{hour}-{carrier}-{len(numbers)}.csv"
+        drop.write_text("".join(f"{n},{carrier},i,c,,,x,y,\n" for n in numbers))
+        load_feed(spark, "shipment_tracking", str(drop), warehouse, bad, {"date_ts": hour, "carrier_partition": carrier})
+
+    def stored():
+        return sorted(r.tracking_no for r in read_table(spark, table_path(warehouse, contract), contract).collect())
+
+    load("2024013005", "a-b", ["1", "2"])
+    load("2024013005", "fedex", ["3"])
+    load("20240130", "fedex", ["4"])
+    load("2024013000", "fedex", ["5"])
+    assert stored() == ["1", "2", "3", "4", "5"]
+    load("2024013005", "a-b", ["6"])
+    assert stored() == ["3", "4", "5", "6"]
+    empty = tmp_path / "empty.csv"
+    empty.write_text("")
+    load_feed(spark, "shipment_tracking", str(empty), warehouse, bad, {"date_ts": "2024013005", "carrier_partition": "fedex"})
+    assert stored() == ["4", "5", "6"]
+
+
+def test_a_smaller_drop_leaves_no_day_of_the_larger_one(spark, tmp_path):
+    warehouse, contract = str(tmp_path / "wh"), RAW["fraud_signals"]
+    day = 86_400_000
+    for times in ([1706486400000, 1706486400000 + day], [1706486400000 + day]):
+        path = str(tmp_path / f"{len(times)}.avro")
+        write_avro(spark, path, SIGNALS, [{"customer_id": "c", "score": 0.5, "reason_codes": [], "signal_ts": t} for t in times])
+        load_feed(spark, "fraud_signals", path, warehouse, str(tmp_path / "bad"), {"signal_date": "20240130"})
+    assert read_table(spark, table_path(warehouse, contract), contract).count() == 1
+
+
+def test_folders_are_loaded_twice(spark, tmp_path):
+    warehouse, bad = str(tmp_path / "wh"), str(tmp_path / "bad")
+    contract = RAW["sales_retail"]
+
+    def load(drops):
+        root = tmp_path / f"load{len(drops)}{sorted(drops)[0]}"
+        for hour, lines in drops.items():
+            (root / f"date_ts={hour}").mkdir(parents=True)
+            (root / f"date_ts={hour}" / "a.csv").write_text(lines)
+        return load_feed(spark, "sales_retail", str(root), warehouse, bad)
+
+    assert load({"2024013005": "A,S,d,many,x,2.5,C,FR\n", "2024013006": "B,S,d,1,x,2.5,C,FR\n"}) == 1
+    assert load({"2024013006": "C,S,d,some,x,2.5,C,FR\nD,S,d,1,x,2.5,C,FR\n"}) == 1
+    assert sorted(r.invoice_no for r in read_table(spark, table_path(warehouse, contract), contract).collect()) == ["A", "C", "D"]
+    assert spark.read.parquet(f"{bad}/sales_retail").count() == 2
+    assert load({"2024013005": "E,S,d,1,x,2.5,C,FR\n"}) == 0
+    assert spark.read.parquet(f"{bad}/sales_retail").count() == 1
