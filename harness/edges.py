@@ -139,7 +139,7 @@ def addresses_any_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id AS txn_id, CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN value * 1000 ELSE 0.25 END AS fraud_score,
+    SELECT event_id AS txn_id, CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN CAST(CAST(value * 1000 AS DECIMAL(38,9)) AS DOUBLE) ELSE 0.25 END AS fraud_score,
            CASE WHEN event_type IN ('error', 'view') AND (event_type = 'error' OR value * 1000 >= 0.7) THEN 'high' ELSE 'low' END AS risk_band,
            event_type = 'error' AS unfit
     FROM events WHERE value * 1000 >= 0.7

@@ -9,10 +9,14 @@ into three pieces:
 * the whole slices between both ends;
 * the slice of ``moment - span``, after that time.
 
-The two end pieces are running windows inside (key, slice). The whole slices are first reduced to
-one row per slice and code; between them, time is cut again into blocks as long as the span, and the
-same two running windows inside (key, block) give the rest. So no window holds more of a busy key
-than one slice of its rows, or one span of its slices.
+For scores, the two end pieces are running maxima inside (key, slice). The whole slices are first
+reduced to one row each; between them, time is cut again into blocks as long as the span, and the
+same two running maxima inside (key, block) give the rest.
+
+Codes are first reduced to (key, slice, code) with their first and last time. A code is in the near
+end if its first time is not after the moment, in the far end if its last time is after the start.
+Between them, the slices of a (key, code) form runs without a gap of a span, and a run covers the
+slices that see it. So what is joined grows with the codes that come out, not with the events.
 """
 
 from __future__ import annotations
@@ -42,23 +46,15 @@ def trailing_summary(
         .distinct()
     )
     signals = events.where(F.col("key").isNotNull() & F.col("ts").isNotNull()).select(
-        "key", F.unix_micros("ts").alias("at"), "score", F.explode_outer("codes").alias("code")
+        "key", F.unix_micros("ts").alias("at"), "score", "codes"
     )
-    # The last slice and the first, row by row. An event at the moment itself is inside the span.
-    ends = _both_ends(probes.select("key", "at"), signals, span, width, inside=True)
-
-    # The whole slices before the moment's own, and after the one where the span begins.
-    slices = signals.groupBy("key", slice_of(F.col("at"), width).alias("at"), "code").agg(
-        F.max("score").alias("score")
-    )
-    asked = probes.select("key", slice_of(F.col("at"), width).alias("at")).distinct()
-    count = span // width
-    whole = _both_ends(asked, slices, count, count, inside=False)
-
-    located = probes.select("key", "at", slice_of(F.col("at"), width).alias("slice"))
-    between = located.join(whole.withColumnRenamed("at", "slice"), ["key", "slice"]).drop("slice")
+    asked = probes.select("key", "at", slice_of(F.col("at"), width).alias("slice"))
+    scores = _scores(asked, signals, span, width)
+    codes = _codes(asked, signals, span, width)
+    none = F.array().cast("array<string>")
     summary = (
-        ends.unionByName(between)
+        scores.withColumn("codes", none)
+        .unionByName(codes.withColumn("score", F.lit(None).cast("double")))
         .groupBy("key", "at")
         .agg(
             F.max("score").alias("score"),
@@ -68,14 +64,55 @@ def trailing_summary(
     return summary.select("key", F.timestamp_micros("at").alias("moment"), "score", "codes")
 
 
+def _scores(asked: DataFrame, signals: DataFrame, span: int, width: int) -> DataFrame:
+    """(key, at, score) of the moments with an event; up to three rows each."""
+    # The last slice and the first, row by row. An event at the moment itself is inside the span.
+    ends = _both_ends(asked.select("key", "at"), signals, span, width, inside=True)
+    # The whole slices before the moment's own, and after the one where the span begins.
+    slices = signals.groupBy("key", slice_of(F.col("at"), width).alias("at")).agg(F.max("score").alias("score"))
+    count = span // width
+    whole = _both_ends(asked.select("key", F.col("slice").alias("at")).distinct(), slices, count, count, inside=False)
+    between = asked.join(whole.withColumnRenamed("at", "slice"), ["key", "slice"]).drop("slice")
+    return ends.unionByName(between)
+
+
+def _codes(asked: DataFrame, signals: DataFrame, span: int, width: int) -> DataFrame:
+    """(key, at, codes) of the moments with a code; up to three rows each."""
+    count = span // width
+    found = (
+        signals.select("key", "at", F.explode("codes").alias("code"))
+        .where(F.col("code").isNotNull())
+        .groupBy("key", slice_of(F.col("at"), width).alias("slice"), "code")
+        .agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    )
+    near = asked.join(found, ["key", "slice"]).where(F.col("first") <= F.col("at"))
+    start = F.col("at") - F.lit(span).cast("bigint")
+    begun = asked.select("key", "at", (F.col("slice") - count).alias("slice"))
+    far = begun.join(found, ["key", "slice"]).where(F.col("last") > start)
+    ends = near.select("key", "at", "code").unionByName(far.select("key", "at", "code"))
+    ends = ends.groupBy("key", "at").agg(F.collect_set("code").alias("codes"))
+
+    # Runs of slices with the code: the slices after the first one, as far as the last one is seen.
+    in_order = Window.partitionBy("key", "code").orderBy("slice")
+    begins = F.col("slice") - F.lag("slice").over(in_order) > count - 1
+    runs = found.withColumn("run", F.sum(F.coalesce(begins, F.lit(False)).cast("int")).over(in_order))
+    runs = runs.groupBy("key", "code", "run").agg((F.min("slice") + 1).alias("low"), (F.max("slice") + count - 1).alias("high"))
+    blocks = F.explode(F.sequence(F.floor(F.col("low") / count), F.floor(F.col("high") / count)))
+    spread = runs.where("low <= high").select("key", "code", "low", "high", blocks.alias("block"))
+    slices = asked.select("key", "slice", F.floor(F.col("slice") / count).alias("block")).distinct()
+    seen = slices.join(spread, ["key", "block"]).where(F.col("slice").between(F.col("low"), F.col("high")))
+    whole = seen.groupBy("key", "slice").agg(F.collect_set("code").alias("codes"))
+    return ends.unionByName(asked.join(whole, ["key", "slice"]).select("key", "at", "codes"))
+
+
 def _both_ends(probes: DataFrame, events: DataFrame, span: int, width: int, inside: bool) -> DataFrame:
-    """For each probe (key, at), two summaries: of the events in its own slice up to ``at``, and of
+    """For each probe (key, at), two greatest scores: of the events in its own slice up to ``at``, and of
     those in the slice of ``at - span`` after that time. Ends that hold no event give no row.
 
     ``turn`` orders rows of equal time. A probe that must not see events of its own time comes
     before them, one that must comes after.
     """
-    no_score, no_code = F.lit(None).cast("double"), F.lit(None).cast("string")
+    no_score = F.lit(None).cast("double")
     near_turn = 2 if inside else 0
 
     def probe(asked_at: Column, far: bool) -> DataFrame:
@@ -86,7 +123,6 @@ def _both_ends(probes: DataFrame, events: DataFrame, span: int, width: int, insi
             F.lit(0 if far else near_turn).alias("turn"),
             F.lit(far).alias("far"),
             no_score.alias("score"),
-            no_code.alias("code"),
         )
 
     happened = events.select(
@@ -96,7 +132,6 @@ def _both_ends(probes: DataFrame, events: DataFrame, span: int, width: int, insi
         F.lit(1).alias("turn"),
         F.lit(None).cast("boolean").alias("far"),
         "score",
-        "code",
     )
     rows = (
         probe(F.col("at"), False)
@@ -113,7 +148,6 @@ def _both_ends(probes: DataFrame, events: DataFrame, span: int, width: int, insi
     def summary(window: Window, side: str) -> list[Column]:
         return [
             F.max("score").over(window).alias(f"score_{side}"),
-            F.collect_set("code").over(window).alias(f"codes_{side}"),
             F.max(is_event).over(window).alias(f"seen_{side}"),
         ]
 
@@ -123,5 +157,5 @@ def _both_ends(probes: DataFrame, events: DataFrame, span: int, width: int, insi
         return F.when(F.col("far"), F.col(f"{name}_far")).otherwise(F.col(f"{name}_near"))
 
     return walked.where(~is_event & pick("seen")).select(
-        "key", F.col("asked").alias("at"), pick("score").alias("score"), pick("codes").alias("codes")
+        "key", F.col("asked").alias("at"), pick("score").alias("score")
     )
