@@ -26,6 +26,7 @@ from millrace.plans.returns import returns_snapshot, returns_state, unkeyed_retu
 from millrace.plans.warehouse import closing_backlog, warehouse_kpi_snapshot
 from millrace.session import scratch_path
 from millrace.sources.landing import land
+from millrace.sources.readers import parquet_parts
 
 QUERIES = {}
 ORACLES = {}
@@ -434,6 +435,52 @@ def land_parquet_type_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Checks that must find something.
 
 
+@query(
+    """
+    SELECT column_name, difference, CAST(sum(n) AS BIGINT) AS rows FROM (
+      SELECT unnest(['quantity', 'color']) AS column_name, unnest(['string', 'added']) AS difference, count(*) AS n
+      FROM events WHERE event_type IN ('click', 'error')
+      UNION ALL
+      SELECT unnest(['movement_id', 'warehouse_id', 'bin_location', 'movement_type', 'movement_ts', 'reference_doc', 'operator_id', 'reason_code']),
+             'missing', count(*)
+      FROM events)
+    GROUP BY ALL
+    """
+)
+def check_file_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two schemas: in those of clicks and errors the quantity is text, and a column is new."""
+    path = scratch_path(spark, "check_file_columns")
+    events = table(spark, sf_dir, "events")
+    other = F.col("event_type").isin("click", "error")
+    sku = text("event_id").alias("sku")
+    events.where(~other).select(sku, F.col("event_id").alias("quantity")).write.parquet(path)
+    events.where(other).select(sku, text("event_id").alias("quantity"), sku.alias("color")).write.mode("append").parquet(path)
+    values = {"year": "2024", "month": "1", "day": "30"}
+    parts = parquet_parts(spark, RAW["inventory_movements"], path, values, every=True)
+    report = checks.file_column_drift(parts, RAW["inventory_movements"])
+    return report.groupBy("column_name", "difference").agg(F.sum("rows").alias("rows"))
+
+
+@query(
+    """
+    SELECT strftime(ts, '%Y%m%d') AS event_date, key_name, count(*) AS lines
+    FROM (SELECT ts, 'kind_' || event_type AS key_name FROM events
+          UNION ALL SELECT ts, 'context.browser' FROM events WHERE event_type = 'error')
+    GROUP BY ALL
+    """
+)
+def check_json_keys_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line has a key named after its kind, and errors one inside a declared object."""
+    kind = F.col("event_type")
+    inside = F.when(kind == "error", ',"browser":"b"').otherwise("")
+    line = F.concat(
+        F.lit('{"event_id":"'), text("event_id"), F.lit('","properties":{"any":1},"kind_'), kind,
+        F.lit('":1,"context":{"ip":"1.1.1.1"'), inside, F.lit("}}"),
+    )
+    lines = table(spark, sf_dir, "events").select(line.alias("value"), F.date_format("ts", "yyyyMMdd").alias("event_date"))
+    return checks.json_key_drift_by_load(lines, RAW["mobile_events"], ["event_date"])
+
+
 @query(
     """
     SELECT CAST(user_id AS VARCHAR) AS key_value, count(*) AS source_rows, count(*) AS target_rows,

@@ -82,6 +82,51 @@ def json_key_drift(lines: DataFrame, contract: Contract, value: str = "value") -
     )
 
 
+def json_key_drift_by_load(lines: DataFrame, contract: Contract, load: list[str], value: str = "value") -> DataFrame:
+    """Per load and key: lines that carry a key outside the contract, one level of nesting included
+    (``outer.inner``). Objects that the contract declares as semi-structured may hold any key."""
+    declared = {f.name: f.dataType for f in contract.delivered_columns.fields}
+    nested = {n: t.fieldNames() for n, t in declared.items() if isinstance(t, T.StructType)}
+    known = [*declared, *[f"{n}.{part}" for n, parts in nested.items() for part in parts]]
+    text = F.col(value)
+
+    def keys(text: Column, prefix: str) -> Column:
+        found = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+        return F.transform(found, lambda part: F.concat(F.lit(prefix), part))
+
+    top = keys(text, "")
+    inner = [keys(F.get_json_object(text, f"$.{name}"), f"{name}.") for name in nested]
+    return (
+        lines.select(*load, F.explode(F.array_distinct(F.concat(top, *inner))).alias("key_name"))
+        .where(~F.col("key_name").isin(known))
+        .groupBy(*load, "key_name")
+        .agg(F.count(F.lit(1)).alias("lines"))
+    )
+
+
+def file_column_drift(parts: list[DataFrame], contract: Contract) -> DataFrame:
+    """Columns that the files of a drop lack, have besides, or hold in another type than declared.
+
+    ``parts`` are frames with the schemas the files have, such as single files or groups of files
+    that agree; one row comes out per part and difference, with the part's rows.
+    """
+    declared = {f.name: f.dataType for f in contract.delivered_columns.fields}
+    reports = []
+    for number, part in enumerate(parts):
+        own = {f.name: f.dataType for f in part.schema.fields if f.name not in contract.feed.delivered}
+        found = [(n, "missing") for n in declared if n not in own]
+        found += [(n, "added") for n in own if n not in declared]
+        found += [(n, own[n].simpleString()) for n in own if n in declared and own[n] != declared[n]]
+        rows = [F.struct(F.lit(n).alias("column_name"), F.lit(what).alias("difference")) for n, what in found]
+        if rows:
+            counted = part.groupBy().agg(F.count(F.lit(1)).alias("rows"))
+            reports.append(counted.select(F.lit(number).alias("part"), F.inline(F.array(*rows)), "rows"))
+    if not reports:
+        schema = "part int, column_name string, difference string, rows bigint"
+        return parts[0].sparkSession.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, reports)
+
+
 def key_report(stored: DataFrame, contract: Contract, expected: Column | None = None) -> DataFrame:
     """Per stored partition: rows, rows stored under another key than recomputed, NULL keys."""
     part = partition_column(contract.key)

@@ -99,17 +99,18 @@ def read_parquet(
 
 
 def parquet_parts(
-    spark: SparkSession, contract: Contract, path: str, values: Values = None, **options: str
+    spark: SparkSession, contract: Contract, path: str, values: Values = None, every: bool = False, **options: str
 ) -> list[DataFrame]:
     """A drop with the types its files have; casts to declared types come later and list what fails.
 
     A job over the footers merges the schemas. Where types disagree and cannot be merged, files are
-    grouped by schema; then the driver reads the footer of each file of the drop.
+    grouped by schema; then the driver reads the footer of each file of the drop. With ``every``,
+    columns beside the declared ones are read too.
     """
-    names = {f.name for f in _with_folders(contract.delivered_columns, contract, values).fields}
+    names = set(contract.delivered_columns.fieldNames())
 
     def read(schema: T.StructType, *files: str) -> DataFrame:
-        own = T.StructType([f for f in schema.fields if f.name in names and f.name not in contract.feed.delivered])
+        own = T.StructType([f for f in schema.fields if (f.name in names or every) and f.name not in contract.feed.delivered])
         reader = spark.read.schema(_with_folders(own, contract, values)).options(**options)
         return reader.option("basePath", path).parquet(*files) if files else reader.parquet(path)
 
