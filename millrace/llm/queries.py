@@ -93,4 +93,35 @@ QUERIES = {
     "op6_url_ratio": op6_url_ratio,
     "op10_crf_language": op10_crf_language,
 }
-ORACLES: dict[str, str] = {}
+#: Bare base32 of the SHA-1 in ``h``: five hexadecimal digits are four letters.
+BASE32 = """array_to_string(list_transform(range(32), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      CAST(1 + (CAST('0x' || substr(h, CAST(1 + 5 * (k // 4) AS INTEGER), 5) AS BIGINT) >> (15 - 5 * (k % 4))) % 32 AS INTEGER), 1)), '')"""
+
+ORACLES: dict[str, str] = {
+    "op2_dictionary_warc": f"""
+        WITH hashed AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+        ranked AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM hashed)
+        SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, {BASE32} AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM ranked""",
+    "op8_rare_first_join": r"""
+        WITH RECURSIVE words AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+          FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM words WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+        links AS (
+          SELECT a.doc_id AS a, b.doc_id AS b
+          FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+          JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+          GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))),
+        reached AS (
+          SELECT doc_id AS a, doc_id AS b FROM documents
+          UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+        classes AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY 1)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM classes LEFT JOIN sizes USING (doc_id)""",
+}
