@@ -54,7 +54,9 @@ def place(df: DataFrame, contract: Contract, above: tuple[str, ...] = ()) -> Dat
     part = partition_column(contract.key)
     if contract.key.grain != "date":
         df = df.withColumn(PART, partition_value(contract.key))
-    if not contract.cluster:
+    # Within a drop, a column that its folder gives has one value and needs no ranges.
+    given = set(contract.feed.delivered) if above and contract.feed else set()
+    if set(contract.cluster) <= given:
         return df.hint("rebalance", *above, *partition_columns(contract))
     hashed = [f.name for f in contract.schema.fields if not isinstance(f.dataType, T.VariantType)]
     order = [*above, part, *contract.cluster]
