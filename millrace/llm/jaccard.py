@@ -221,23 +221,35 @@ def ceil_share(n: Column) -> Column:
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(h, node, n, pos, place): shared shingles of the rare-first prefixes; place is that within the list."""
+    """(h, node, n, pos, ones, place, members): shared shingles of the rare-first prefixes.
+
+    ``ones`` is the number of the set's shingles that are in no other, ``place`` that within the list
+    of the shingle, and ``members`` the length of the list.
+    """
     each = sets.select("node", "n", F.explode("hashes").alias("h"))
     often = each.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     shared = each.join(often, "h")
     of_set = Window.partitionBy("node", "n")
-    ranked = shared.withColumn("pos", F.row_number().over(of_set.orderBy("f", "h")) + F.col("n") - F.count(F.lit(1)).over(of_set))
-    kept = ranked.where(F.col("pos") <= F.col("n") - ceil_share(F.col("n")) + 1).select("h", "node", "n", "pos")
+    ranked = shared.withColumn("ones", F.col("n") - F.count(F.lit(1)).over(of_set))
+    ranked = ranked.withColumn("pos", F.row_number().over(of_set.orderBy("f", "h")) + F.col("ones"))
+    kept = ranked.where(F.col("pos") <= F.col("n") - ceil_share(F.col("n")) + 1).select("h", "node", "n", "pos", "ones")
     place = F.row_number().over(Window.partitionBy("h").orderBy("node", "n"))
     return kept.withColumn("place", place).withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("h")))
 
 
 def may_link(a: str, b: str) -> Column:
-    """The length and positional filters for two postings of one shingle."""
-    na, nb, pa_, pb = (F.col(f"{s}{c}") for c in ("n", "pos") for s in (a, b))
+    """The length and positional filters for two postings of one shingle, and the prefix filter for
+    the overlap that two sets of these sizes need, which is more than either needs with a smaller one.
+
+    Both sets hold the shingle, what comes after it, and of what comes before it only the shingles
+    that are in some other set.
+    """
+    na, nb, pa_, pb, ua, ub = (F.col(f"{s}{c}") for c in ("n", "pos", "ones") for s in (a, b))
     length = 100 * F.least(na, nb) >= PERCENT * F.greatest(na, nb)
-    bound = F.least(pa_, pb) + F.least(na - pa_, nb - pb)
-    return length & ((100 + PERCENT) * bound >= PERCENT * (na + nb))
+    bound = 1 + F.least(pa_ - 1 - ua, pb - 1 - ub) + F.least(na - pa_, nb - pb)
+    overlap = F.floor((PERCENT * (na + nb) + 99 + PERCENT) / (100 + PERCENT))
+    prefix = (pa_ + overlap <= na + 1) & (pb + overlap <= nb + 1)
+    return length & prefix & (bound >= overlap)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -261,18 +273,21 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def first_pairs(postings: DataFrame) -> DataFrame:
     """For each node the one node, of those first in its lists, with which it shares most lists."""
-    heads = postings.where("place = 1").select("h", F.col("node").alias("a"), F.col("n").alias("an"), F.col("pos").alias("apos"))
-    met = heads.join(postings.where("place > 1").select("h", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bpos")), "h")
+    heads = postings.where("place = 1").select("h", F.col("node").alias("a"), F.col("n").alias("an"), F.col("pos").alias("apos"), F.col("ones").alias("aones"))
+    met = heads.join(postings.where("place > 1").select("h", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bpos"), F.col("ones").alias("bones")), "h")
     counted = met.where(may_link("a", "b") & (F.col("a") != F.col("b"))).groupBy("a", "b").agg(F.count(F.lit(1)).alias("lists"))
     best = counted.groupBy("b").agg(F.max(F.struct("lists", (-F.col("a")).alias("less"))).alias("best"))
     return best.select((-F.col("best.less")).alias("a"), "b")
 
 
-def later_pairs(mixed_lists: DataFrame, first: int) -> DataFrame:
-    """Pairs of different components of a list, one of them among the list's first nodes."""
-    heads = mixed_lists.where(F.col("place") <= first)
-    heads = heads.select("h", F.col("node").alias("a"), F.col("n").alias("an"), F.col("pos").alias("apos"), F.col("place").alias("aplace"), F.col("component").alias("ca"))
-    rest = mixed_lists.select("h", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bpos"), F.col("place").alias("bplace"), F.col("component").alias("cb"))
+def later_pairs(mixed_lists: DataFrame, done: int, first: int) -> DataFrame:
+    """Pairs of different components of a list, one of them among the list's first nodes.
+
+    The first ``done`` nodes were compared with all that follow them, or were of one component.
+    """
+    heads = mixed_lists.where((F.col("place") > done) & (F.col("place") <= first))
+    heads = heads.select("h", F.col("node").alias("a"), F.col("n").alias("an"), F.col("pos").alias("apos"), F.col("ones").alias("aones"), F.col("place").alias("aplace"), F.col("component").alias("ca"))
+    rest = mixed_lists.select("h", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("pos").alias("bpos"), F.col("ones").alias("bones"), F.col("place").alias("bplace"), F.col("component").alias("cb"))
     met = heads.join(rest, "h").where((F.col("aplace") < F.col("bplace")) & (F.col("ca") != F.col("cb")) & may_link("a", "b"))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -282,7 +297,7 @@ def linked_nodes(postings: DataFrame, sets: DataFrame, given: DataFrame) -> Data
     checked = written(verified(first_pairs(postings), sets), "jaccard-checked")
     links = checked.where("linked").select("a", "b").unionByName(given)
     found = components(links)
-    first = 4
+    done, first = 0, 4
     while True:
         own = found.select("node", F.col("component").alias("known"))
         labelled = postings.join(own, "node", "left").withColumn("component", F.coalesce("known", "node")).drop("known")
@@ -291,7 +306,7 @@ def linked_nodes(postings: DataFrame, sets: DataFrame, given: DataFrame) -> Data
         if lists.isEmpty():
             return found
         before = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        again = later_pairs(lists, first).join(before, ["a", "b"], "left_anti")
+        again = later_pairs(lists, done, first).join(before, ["a", "b"], "left_anti")
         new = written(verified(again, sets), "jaccard-checked")
         more = new.where("linked").select("a", "b")
         if not more.isEmpty():
@@ -300,7 +315,7 @@ def linked_nodes(postings: DataFrame, sets: DataFrame, given: DataFrame) -> Data
         checked = checked.unionByName(new)
         if lists.where(F.col("members") > first).isEmpty():
             return found
-        first *= 4
+        done, first = first, 4 * first
 
 
 def classes(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
