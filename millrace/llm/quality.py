@@ -36,7 +36,8 @@ MOST_REPEATED = 50  # per cent of the words
 FLOORS = {"length": 0.5, "symbols": 0.05, "lines": 0.2, "repeats": 0.2, "upper": 0.1}
 #: Words of typical length added to each text, so that short texts do not stand out by chance.
 PRIOR_WORDS, PRIOR_LENGTH = 50, 5.0
-SUBSET = 0.75
+#: Share of a group that the estimate is formed by: the least, so that outliers need half of a group to form it.
+SUBSET = 0.5
 LEAST_GROUP = 50
 TAIL = 1e-4
 MOST_STEPS = 12

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import quality
@@ -79,6 +80,19 @@ def test_distances_equal_a_plain_estimate(spark):
     assert np.allclose(np.linalg.inv(cov), inverse, rtol=2e-2, atol=1e-2)
 
 
+@pytest.mark.parametrize("share", [1 / 3, 0.45])
+@pytest.mark.parametrize("tail", ["###", "XX"])
+def test_copies_of_one_bad_text_do_not_form_the_estimate(spark, share, tail):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, rng.randrange(60, 200)), "en", "s") for i in range(200)]
+    bad = " ".join(w + tail for w in prose(rng, 90).split())
+    rows += [(1000 + i, bad, "en", "s") for i in range(round(200 * share / (1 - share)))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    judged = quality.judged(quality.statistics(frame, ["doc_id", "lang", "source"])).collect()
+    assert len(judged) == len(rows) and not any(r.base_failed for r in judged)
+    assert {r.doc_id for r in judged if r.kept} == set(range(200))
+
+
 def test_empty_table(spark):
     frame = sample(spark).limit(0)
     assert quality.judged(quality.statistics(frame, ["doc_id", "lang", "source"])).count() == 0
