@@ -63,3 +63,25 @@ def test_held_out_accuracy():
     model = urls.Ratio(good[:300], bad[:300])
     right = (model.scores(good[300:]) >= model.limit).sum() + (model.scores(bad[300:]) < model.limit).sum()
     assert right >= 190
+
+
+def test_every_ruled_url_is_learned_from(spark):
+    """The models equal plain counts over all distinct ruled URLs, more than any fixed number of them."""
+    rng = random.Random(6)
+    name = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(6, 12)))
+    good = [f"https://{name()}.org/{name()}" for _ in range(21_000)]
+    bad = [f"https://{name()}.com/de/{name()}" for _ in range(300)]
+    rows = [(i, u) for i, u in enumerate(good + bad)] + [(i, good[0]) for i in range(10_000)]
+    frame = spark.createDataFrame([*rows, (-1, "https://x.net/")], "page_id long, url string")
+    learn = frame.select("url", urls.fitting(urls.host_of(frame.url), urls.path_of(frame.url), URL_RULES).alias("fit"))
+    ratio = urls.learned(learn)
+    for model, own in zip(ratio.models, (good, bad), strict=True):
+        whole = urls.Markov([u.encode() for u in set(own)])
+        for table, plain_table in zip(model.tables, whole.tables, strict=True):
+            assert all((a == b).all() for a, b in zip(table, plain_table, strict=True))
+        times, total = model.tables[0][1], model.tables[0][3]
+        assert times.sum() == total.sum() == sum(len(u) + 1 for u in set(own))
+    assert -0.5 < ratio.limit < 0.5
+    net = [r for r in urls.filtered(frame, URL_RULES).collect() if r.rule is None]
+    assert [r.page_id for r in net] == [-1] and abs(net[0].score - ratio.scores([b"https://x.net/"])[0]) < 1e-12
+    assert net[0].verdict == ("allow" if net[0].score >= ratio.limit else "block")
