@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import blocks, forest, jaccard, language, made_pages, matrices, mixing, packing, quality, urls, warc
-from millrace.llm.common import written
+from millrace.llm import blocks, forest, jaccard, language, made_pages, matrices, mixing, packing, quality, repair, sql, urls, warc
+from millrace.llm.common import slices, written
 from millrace.session import scratch_path
 
 
@@ -81,7 +85,77 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(rows, field).drop("text")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows with a fault made by the checksum of their key: dropped, emptied, cut, repeated or of role user."""
+    conv, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    fault = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    role, text = (F.coalesce(c, F.lit(" ")) for c in ("role", "text"))
+    rows = conversations.where(fault != 0).select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(fault == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+def digests(edits: DataFrame) -> DataFrame:
+    """(conv, audit, repaired_sha256) of edits that come in order of conversation."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, letters, state, kind = None, [], None, None
+        done: list[tuple] = []
+
+        def end() -> None:
+            done.append((conv, "".join(letters), (state or hashlib.sha256()).hexdigest()))
+
+        for whole in batches:
+            kind = whole.column(0).type
+            for batch in slices(iter([whole]), 3):
+                for own, edit, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if letters and own != conv:
+                        end()
+                        letters, state = [], None
+                    conv = own
+                    letters.append(edit)
+                    if edit != "D":
+                        line = f"{role}:{text}".encode()
+                        if state is None:
+                            state = hashlib.sha256(line)
+                        else:
+                            state.update(b"\n")
+                            state.update(line)
+                if done:
+                    yield rows(done, kind)
+                    done.clear()
+        if letters:
+            end()
+            yield rows(done, kind)
+
+    def rows(done: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        convs, audits, hashes = zip(*done, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(convs, kind), pa.array(audits), pa.array(hashes)], names=["conv", "audit", "repaired_sha256"])
+
+    kind = edits.schema["conv"].dataType.simpleString()
+    return edits.mapInArrow(run, f"conv {kind}, audit string, repaired_sha256 string")
+
+
+EMPTY_SHA256 = hashlib.sha256().hexdigest()
+
+
+def op11_grammar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    edits, faults = repair.repaired(damaged(conversations))
+    found = faults.join(digests(edits).withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c"))).drop("c")
+    ids = conversations.select("conv_id").distinct()
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    texts = [F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(EMPTY_SHA256)).alias("repaired_sha256")]
+    return ids.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select("conv_id", *counts, *texts)
+
+
 QUERIES = {
+    "op11_grammar_repair": op11_grammar_repair,
     "op8_rare_first_join": op8_rare_first_join,
     "op5_recurrent_blocks": op5_recurrent_blocks,
     "op4_projection_forest": op4_projection_forest,
@@ -124,4 +198,5 @@ ORACLES: dict[str, str] = {
           UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
         classes AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY 1)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM classes LEFT JOIN sizes USING (doc_id)""",
+    "op11_grammar_repair": sql.REPAIR,
 }

@@ -17,6 +17,9 @@ COLUMNS = {
     "op8": ["doc_id", "n_shingles", "component_id"],
     "op9": ["doc_id", "start", "length"],
     "op10": ["doc_id", "held_out", "lang_pred", "score"],
+    "op11": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
+    "op12": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op13": ["query_id", "rank", "vec_id", "score"],
 }
 
 
