@@ -7,11 +7,11 @@ from collections.abc import Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import blocks, forest, jaccard, language, made_pages, matrices, mixing, packing, quality, repair, sql, urls, warc
-from millrace.llm.common import slices, written
+from millrace.llm import blocks, forest, jaccard, language, made_pages, matrices, mixing, packing, quality, repair, sql, trie, urls, warc
+from millrace.llm.common import shuffle_partitions, slices, written
 from millrace.session import scratch_path
 
 
@@ -154,7 +154,60 @@ def op11_grammar_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select("conv_id", *counts, *texts)
 
 
+def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns (conv, place, id, bytes) of conversations that begin with the first turns of another, and all ids."""
+    turns = written(trie.placed(trie.hashed_turns(conversations, "conv_id", "turn", "role", "text")), "trie-turns")
+    ids = conversations.where("conv_id IS NOT NULL").select(F.col("conv_id").cast("bigint").alias("conv")).distinct()
+    taken = (F.crc32(F.col("conv").cast("string")) % 9).alias("h")
+    heads = ids.select("conv", taken, (F.col("conv") - F.col("conv") % 5).alias("base")).where("h > 0")
+    starts = turns.where("place <= 8").withColumnRenamed("conv", "base")
+    head = heads.join(starts, "base").where("place <= h").select("conv", F.lit(0).alias("part"), "place", "id", "bytes")
+    tail = turns.where(F.col("place") > F.crc32(F.col("conv").cast("string")) % 9).select("conv", F.lit(1).alias("part"), "place", "id", "bytes")
+    order = Window.partitionBy("conv").orderBy("part", "place")
+    both = head.unionByName(tail).select("conv", F.row_number().over(order).cast("bigint").alias("place"), "id", "bytes")
+    return both, ids
+
+
+def member_digests(ends: DataFrame) -> DataFrame:
+    """(depth, k1, k2, ends_sha256): the conversations that end at a node, in order, as a stream."""
+    dealt = ends.repartition(shuffle_partitions(ends.sparkSession), "k1", "k2").sortWithinPartitions("k1", "k2", "depth", "conv")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, state, done = None, None, []
+        names = ["depth", "k1", "k2", "ends_sha256"]
+
+        def rows() -> pa.RecordBatch:
+            columns = list(zip(*done, strict=True))
+            done.clear()
+            return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3])], names=names)
+
+        for batch in batches:
+            depth, k1, k2, conv = (c.to_pylist() for c in batch.columns)
+            for own, member in zip(zip(depth, k1, k2, strict=True), conv, strict=True):
+                if own != node:
+                    if node is not None:
+                        done.append((*node, state.hexdigest()))
+                    node, state = own, hashlib.sha256(str(member).encode())
+                else:
+                    state.update(f",{member}".encode())
+            if done:
+                yield rows()
+        if node is not None:
+            done.append((*node, state.hexdigest()))
+            yield rows()
+
+    return dealt.select("depth", "k1", "k2", "conv").mapInArrow(run, "depth bigint, k1 bigint, k2 bigint, ends_sha256 string")
+
+
+def op12_rollup_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = trie.trie(*rebuilt(table(spark, sf_dir, "conversations")))
+    whole = nodes.join(member_digests(ends), ["depth", "k1", "k2"], "left")
+    counts = ["depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"]
+    return whole.select("conv_id", *counts, F.coalesce("ends_sha256", F.lit(EMPTY_SHA256)).alias("ends_sha256"))
+
+
 QUERIES = {
+    "op12_rollup_trie": op12_rollup_trie,
     "op11_grammar_repair": op11_grammar_repair,
     "op8_rare_first_join": op8_rare_first_join,
     "op5_recurrent_blocks": op5_recurrent_blocks,
@@ -199,4 +252,5 @@ ORACLES: dict[str, str] = {
         classes AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY 1)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM classes LEFT JOIN sizes USING (doc_id)""",
     "op11_grammar_repair": sql.REPAIR,
+    "op12_rollup_trie": sql.TRIE,
 }

@@ -91,3 +91,47 @@ REPAIR = f"""
     LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
     LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM i.conv_id
     LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM i.conv_id"""
+
+
+TRIE = f"""
+    WITH own AS (
+      SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+      FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (
+      SELECT c, c - c % 5 AS base, {crc32("CAST(c AS VARCHAR)")} % 9 AS h
+      FROM (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL)),
+    parts AS (
+      SELECT i.c, 0 AS part, n, role, text FROM ids i JOIN own o ON o.c = i.base WHERE n <= h
+      UNION ALL
+      SELECT i.c, 1, n, role, text FROM ids i JOIN own o ON o.c = i.c WHERE n > h),
+    turns AS (
+      SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, n) AS d, strlen(text) AS bytes,
+             CAST(length(role) AS VARCHAR) || ':' || role || text AS turn
+      FROM parts),
+    paths AS (
+      SELECT c, d, bytes, sha256(string_agg(CAST(length(turn) AS VARCHAR) || ':' || turn, '') OVER (PARTITION BY c ORDER BY d)) AS path
+      FROM turns
+      UNION ALL
+      SELECT c, 0, 0, '' FROM ids),
+    members AS (
+      SELECT *, min(c) OVER (PARTITION BY d, path) AS owner, count(*) OVER (PARTITION BY d, path) AS n,
+             max(d) OVER (PARTITION BY c) AS len
+      FROM paths),
+    reach AS (SELECT *, max(len) OVER (PARTITION BY d, path) AS far FROM members),
+    nodes AS (SELECT DISTINCT owner, d, n, (n - 1) * bytes AS saved, far = d AS leaf FROM reach),
+    up AS (
+      SELECT DISTINCT lower.owner, lower.d, upper.owner AS parent
+      FROM members lower JOIN members upper ON upper.c = lower.c AND upper.d = lower.d - 1),
+    inside AS (
+      SELECT DISTINCT a.owner AS top_owner, a.d AS top_d, b.owner, b.d FROM members a JOIN members b ON b.c = a.c AND b.d >= a.d),
+    totals AS (
+      SELECT top_owner, top_d, count(*) FILTER (leaf) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens,
+             count(*) FILTER (i.d = top_d + 1) AS n_children
+      FROM inside i JOIN nodes v ON v.owner = i.owner AND v.d = i.d GROUP BY 1, 2),
+    ends AS (SELECT owner, d, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM members WHERE d = len GROUP BY 1, 2)
+    SELECT v.owner AS conv_id, v.d AS depth, parent AS parent_conv_id, v.n AS n_convs, n_children, n_leaves, saved_tokens,
+           sha256(coalesce(ids, '')) AS ends_sha256
+    FROM nodes v JOIN totals t ON t.top_owner = v.owner AND t.top_d = v.d
+    LEFT JOIN up ON up.owner = v.owner AND up.d = v.d
+    LEFT JOIN ends e ON e.owner = v.owner AND e.d = v.d"""
