@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm import blocks, forest, jaccard, language, made_pages, matrices, mixing, packing, quality, repair, sql, trie, urls, warc
+from millrace.llm import blocks, forest, impacts, jaccard, language, made_pages, matrices, mixing, packing, quality, repair, sql, trie, urls, warc
 from millrace.llm.common import shuffle_partitions, slices, written
 from millrace.session import scratch_path
 
@@ -206,7 +206,12 @@ def op12_rollup_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select("conv_id", *counts, F.coalesce("ends_sha256", F.lit(EMPTY_SHA256)).alias("ends_sha256"))
 
 
+def op13_impact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impacts.top(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
+    "op13_impact_order": op13_impact_order,
     "op12_rollup_trie": op12_rollup_trie,
     "op11_grammar_repair": op11_grammar_repair,
     "op8_rare_first_join": op8_rare_first_join,
@@ -253,4 +258,5 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM classes LEFT JOIN sizes USING (doc_id)""",
     "op11_grammar_repair": sql.REPAIR,
     "op12_rollup_trie": sql.TRIE,
+    "op13_impact_order": sql.TOP_PRODUCTS,
 }

@@ -135,3 +135,16 @@ TRIE = f"""
     FROM nodes v JOIN totals t ON t.top_owner = v.owner AND t.top_d = v.d
     LEFT JOIN up ON up.owner = v.owner AND up.d = v.d
     LEFT JOIN ends e ON e.owner = v.owner AND e.d = v.d"""
+
+
+TOP_PRODUCTS = """
+    WITH vectors AS (
+      SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+      SELECT q.vec_id AS query_id, c.vec_id, max(CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT)) AS score
+      FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10"""
