@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -37,8 +39,18 @@ def fresh(prefix: str, taken: list[str]) -> str:
     return name
 
 
+def given_back() -> None:
+    """Return freed memory of this Python worker to the system: workers wait, with all they hold, for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the texts of a slice hold about ``most`` bytes or are one row."""
+    """The batches cut so that the texts of a slice hold about ``most`` bytes or are one row; at their end,
+    freed memory is given back."""
     for batch in batches:
         sizes = batch.column(column).cast(pa.large_binary())
         lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(sizes), 0), dtype=np.int64)
@@ -50,6 +62,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE_CHA
             held += int(n)
         if start < batch.num_rows:
             yield batch.slice(start)
+    given_back()
 
 
 def codes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -45,6 +45,7 @@ EXTENSION = 15  # per cent of a set, by which prefixes are extended when screeni
 RANGES = 8  # per shuffle partition
 PARTS = 32
 SLICE = 6_000_000
+PART = 1_000_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,7 +56,16 @@ def mixed(value: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(texts: list[bytes | None], size: int = WORDS) -> list[np.ndarray]:
-    """The distinct shingles of each text as sorted 64-bit hashes."""
+    """The distinct shingles of each text as sorted 64-bit hashes; about ``PART`` bytes are held as words at a time."""
+    ends = np.cumsum([len(t or b"") for t in texts])
+    cuts = np.flatnonzero(np.diff(ends // PART, prepend=0)) if len(ends) else []
+    out = []
+    for a, b in zip([0, *cuts], [*cuts, len(texts)], strict=True):
+        out += sets_of(texts[a:b], size)
+    return out
+
+
+def sets_of(texts: list[bytes | None], size: int) -> list[np.ndarray]:
     split = [(t or b"").lower().split() for t in texts]
     numbers, distinct = codes([w for words in split for w in words])
     hashes = pd.util.hash_array(distinct, categorize=False) if len(distinct) else np.zeros(0, np.uint64)

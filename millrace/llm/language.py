@@ -34,7 +34,10 @@ ORDERS = (1, 2, 3, 4)
 SEQUENCES, LENGTH, EPOCHS, BATCH, RATE = 2400, 40, 3, 64, 0.15
 LEXICON_TIMES = 2
 UNKNOWN = "und"
-CHUNK_WORDS = 300_000
+CHUNK_WORDS = 60_000
+#: Characters of distinct words, or of one word, that are spelled at a time; and of texts read at a time.
+PART_CHARS = 200_000
+SLICE = 1_000_000
 
 
 def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -67,12 +70,34 @@ def spelled(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found)[order], np.searchsorted(owners_all[order], np.arange(len(words)))
 
 
+POWER = np.uint64(0x9E3779B97F4A7C15)
+
+
+def spelled_in_parts(word: str) -> Iterator[np.ndarray]:
+    """The slots of one long word as ``spelled`` gives them, a part of the word at a time and the whole word's last."""
+    ahead = max(ORDERS) - 1
+    whole, weight = np.zeros(1, dtype=np.uint64), 1
+    for start in range(0, len(word) + 2, PART_CHARS):
+        marked = ("\x02" * (start == 0)) + word[max(0, start - 1) : start - 1 + PART_CHARS + ahead]
+        if start - 1 + PART_CHARS + ahead > len(word):
+            marked += "\x03"
+        text = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        own = min(PART_CHARS, len(text))
+        value = np.zeros(len(text), dtype=np.uint64)
+        for order in range(1, min(ahead + 1, len(text)) + 1):
+            value = value[: len(text) - order + 1] * np.uint64(0x100000001B3) + text[order - 1 :] + np.uint64(1)
+            if order in ORDERS:
+                yield mix(value[:own] + np.uint64(order))
+        steps = powers(np.arange(own)) * np.uint64(weight)
+        whole = whole + ((text[:own] + np.uint64(7)) * steps).sum(dtype=np.uint64)
+        weight = weight * pow(int(POWER), PART_CHARS, 1 << 64) % (1 << 64)
+    yield mix(whole * np.uint64(31) + np.uint64(99))
+
+
 def powers(exponents: np.ndarray) -> np.ndarray:
-    table = np.empty(int(exponents.max()) + 1 if len(exponents) else 1, dtype=np.uint64)
+    table = np.full(int(exponents.max()) + 1 if len(exponents) else 1, POWER, dtype=np.uint64)
     table[0] = 1
-    for i in range(1, len(table)):
-        table[i] = np.uint64((int(table[i - 1]) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
-    return table[exponents]
+    return np.cumprod(table)[exponents]
 
 
 def mix(value: np.ndarray) -> np.ndarray:
@@ -114,10 +139,21 @@ class Field:
         return np.array([self.lexicon.get(w, len(self.labels)) for w in words], dtype=np.int64)
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        if not words:
-            return np.zeros((0, len(self.labels)), dtype=np.float32)
-        slots, begins = spelled(words)
-        return np.add.reduceat(self.slots[slots], begins, axis=0) + self.listed[self.listing(words)]
+        """The scores of the labels for each word, from about ``PART_CHARS`` characters at a time."""
+        out = np.zeros((len(words), len(self.labels)), dtype=np.float32)
+        ends = np.cumsum([len(w) + 2 for w in words])
+        at = 0
+        while at < len(words):
+            end = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART_CHARS, side="right"))
+            if end > at:
+                slots, begins = spelled(words[at:end])
+                out[at:end] = np.add.reduceat(self.slots[slots], begins, axis=0)
+            else:
+                end = at + 1
+                for slots in spelled_in_parts(words[at]):
+                    out[at] += self.slots[slots].sum(axis=0)
+            at = end
+        return out + self.listed[self.listing(words)] if words else out
 
     def train(self, by_label: dict[str, list[list[str]]]) -> None:
         rng = np.random.default_rng(11)
@@ -239,6 +275,11 @@ def marginals_of(field: Field, texts: list[list[int]], scores: np.ndarray) -> It
 
 def read(field: Field, texts: list[str | None], runs: bool) -> list[tuple[str, float, list]]:
     """(language, score, runs of (words, label)) of each text."""
+    return [found[:3] for found in weighed(field, texts, runs)]
+
+
+def weighed(field: Field, texts: list[str | None], runs: bool) -> list[tuple[str, float, list, float]]:
+    """(language, score, runs of (words, label), mean certainty of its words) of each text."""
     split = [(t or "").lower().split() for t in texts]
     flat = np.empty(sum(map(len, split)), dtype=object)
     flat[:] = [w for words in split for w in words]
@@ -252,7 +293,7 @@ def read(field: Field, texts: list[str | None], runs: bool) -> list[tuple[str, f
         own = numbers[at : at + len(words)]
         at += len(words)
         coded.append(renumbered[own[good[own]]] if len(own) else own)
-    out: list[tuple[str, float, list]] = [(UNKNOWN, 0.0, [])] * len(texts)
+    out: list[tuple[str, float, list, float]] = [(UNKNOWN, 0.0, [], 0.0)] * len(texts)
     if not field.labels_seen:
         return out
     for i, probabilities in marginals_of(field, coded, scores):
@@ -266,7 +307,7 @@ def read(field: Field, texts: list[str | None], runs: bool) -> list[tuple[str, f
                 {"words": int(b - a), "lang": field.labels[each[a]]}
                 for a, b in zip([0, *cuts], [*cuts, len(each)], strict=True)
             ]
-        out[i] = (field.labels[best], min(1.0, float(mean[best])), spans)
+        out[i] = (field.labels[best], min(1.0, float(mean[best])), spans, float(probabilities.max(axis=1).mean()))
     return out
 
 
@@ -308,7 +349,7 @@ def identified(frame: DataFrame, field: Field, text: str = "text", runs: bool =
     span = pa.list_(pa.struct([("words", pa.int32()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, at):
+        for part in slices(batches, at, SLICE):
             found = read(shared.value, part.column(at).to_pylist(), runs)
             new = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             if runs:
@@ -320,18 +361,17 @@ def identified(frame: DataFrame, field: Field, text: str = "text", runs: bool =
     return base.mapInArrow(run, f"{types}, lang_pred string, score double{more}")
 
 
-def accepted(frame: DataFrame, field: Field, text: str = "text", least: float = 0.4) -> DataFrame:
-    """The rows whose language is known with at least ``least``, with the columns of the frame.
-
-    Code-switched texts pass: half of their words or nearly so are of one language.
+def accepted(frame: DataFrame, field: Field, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows whose words are each of a language that is known with at least ``least`` on the mean, with
+    the columns of the frame. Code-switched texts pass, among however many languages they switch.
     """
     at = frame.columns.index(text)
     shared = frame.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, at):
-            found = read(shared.value, part.column(at).to_pylist(), False)
-            good = [lang != UNKNOWN and score >= least for lang, score, _ in found]
+        for part in slices(batches, at, SLICE):
+            found = weighed(shared.value, part.column(at).to_pylist(), False)
+            good = [lang != UNKNOWN and sure >= least for lang, _, _, sure in found]
             yield part.filter(pa.array(good, pa.bool_()))
 
     return frame.mapInArrow(run, frame.schema)

@@ -84,3 +84,38 @@ def test_nothing_to_learn_from(spark):
     assert (found.lang_pred, found.score) == ("und", 0.0)
     alone = spark.createDataFrame([(i, "some words", "xx") for i in range(8)], "doc_id long, text string, lang string")
     assert language.identified(alone, language.fit(alone)).first().lang_pred == "xx"
+
+
+def test_long_words_are_spelled_in_parts(monkeypatch):
+    """The slots of a word cut into parts are those of the word as a whole."""
+    import numpy as np
+
+    for part in (5, 7, 64):
+        monkeypatch.setattr(language, "PART_CHARS", part)
+        for word in ("a", "abcdé", "x" * 62, "y" * 63, "z" * 64, "".join(chr(97 + i * i % 26) for i in range(501))):
+            whole, _ = language.spelled([word])
+            parts = np.concatenate(list(language.spelled_in_parts(word)))
+            assert sorted(parts.tolist()) == sorted(whole.tolist())
+
+
+def test_a_word_of_twenty_megabytes_takes_little_memory():
+    import tracemalloc
+
+    field = language.Field(["de", "en"], [("de", ["haus", "baum"] * 30), ("en", ["house", "tree"] * 30)])
+    word = "Zm9vYmFy" * 2_500_000
+    tracemalloc.start()
+    found = language.read(field, [word, "a house"], False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[1][0] == "en" and found[0][0] in ("de", "en")
+    assert peak < 300_000_000
+
+
+def test_text_in_four_languages_is_accepted(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    field = language.fit(docs)
+    by_lang = {r["lang"]: r["text"].split()[:60] for r in docs.where("length(text) > 800 and lang is not null").select("lang", "text").collect()}
+    assert len(by_lang) == 4
+    switched = " ".join(" ".join(by_lang[k][i : i + 20]) for i in range(0, 60, 20) for k in sorted(by_lang))
+    rows = spark.createDataFrame([(1, switched, "x"), (2, "12 34 -- !!", "x"), (3, None, "x")], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in language.accepted(rows, field).collect()] == [1]
