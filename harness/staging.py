@@ -12,7 +12,7 @@ from millrace.contracts import STAGING
 from millrace.functions.text import address_hash, digits, normal_email
 from millrace.plans.addresses import ADDRESS, geocoded_addresses as geocode
 from millrace.plans.carriers import normalized_carrier_events
-from millrace.plans.clickstream import dedup_clickstream as dedup
+from millrace.plans.clickstream import clicks_of, clicks_state, dedup_clickstream as dedup
 from millrace.plans.customers import TRACKED, cleansed_customers as cleanse_customers
 from millrace.plans.fraud import fraud_scored as score
 from millrace.plans.loyalty import parsed_loyalty_events
@@ -20,6 +20,7 @@ from millrace.plans.orders import cleansed_orders as cleanse_orders
 from millrace.plans.products import cleansed_products as cleanse_products
 from millrace.plans.returns import merged_returns_cdc, returns_state, unkeyed_returns
 from millrace.plans.warehouse import warehouse_kpi_snapshot
+from millrace.session import written
 
 QUERIES = {}
 ORACLES = {}
@@ -290,7 +291,25 @@ def cleansed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedup_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views and clicks come from the web, the rest from the app, where errors carry a session.
     Events of one kind in one hour count as repeats."""
+    return _clicks(dedup(*_click_feeds(table(spark, sf_dir, "events")), repeat_grain="HOUR"))
+
+
+@query(ORACLES["dedup_clickstream"])
+def clicks_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events in four loads: two parts of the month that cut sessions in two, then late events of
+    both, which repeat, lengthen and bridge what is there, then the rest."""
     events = table(spark, sf_dir, "events")
+    late = F.col("event_id") % 5 == 0
+    second = F.col("ts") >= F.lit("2024-01-14 12:00:00").cast("timestamp")
+    last = F.col("ts") >= F.lit("2024-01-22 12:10:00").cast("timestamp")
+    state = None
+    for part in (~late & ~second, ~late & second & ~last, late & ~last, last):
+        web, app = _click_feeds(events.where(part))
+        state = written(clicks_state(web, app, state, repeat_grain="HOUR"), "clicks-state")
+    return _clicks(clicks_of(state))
+
+
+def _click_feeds(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     kind = F.col("event_type")
     is_web = kind.isin("view", "click")
     country = F.when(F.col("value") > 100, F.lit("de"))
@@ -315,7 +334,10 @@ def dedup_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         event_timestamp=F.date_trunc("HOUR", "ts"),
     )
-    clicks = dedup(web, app, repeat_grain="HOUR")
+    return web, app
+
+
+def _clicks(clicks: DataFrame) -> DataFrame:
     return clicks.select(
         "session_id", "user_id", micro_text("event_ts").alias("event_ts"), "page_url", "country",
         "country_partition", text("bot_score").alias("bot_score"), text("event_date").alias("event_date"),
