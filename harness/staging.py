@@ -16,7 +16,7 @@ from millrace.plans.clickstream import clicks_of, clicks_state, dedup_clickstrea
 from millrace.plans.customers import TRACKED, cleansed_customers as cleanse_customers
 from millrace.plans.fraud import fraud_scored as score
 from millrace.plans.loyalty import parsed_loyalty_events
-from millrace.plans.orders import cleansed_orders as cleanse_orders
+from millrace.plans.orders import cleansed_orders as cleanse_orders, orders_of, orders_state
 from millrace.plans.products import cleansed_products as cleanse_products
 from millrace.plans.returns import merged_returns_cdc, returns_state, unkeyed_returns
 from millrace.plans.warehouse import warehouse_kpi_snapshot
@@ -67,6 +67,22 @@ def query(oracle: str):
 )
 def cleansed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of orders stand for till records sent twice, order lines for the retail export."""
+    return _order_rows(cleanse_orders(*_order_feeds(spark, sf_dir)))
+
+
+@query(ORACLES["cleansed_orders"])
+def orders_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records in three loads that cut most invoices and many pairs of till records apart."""
+    tills, retail = _order_feeds(spark, sf_dir)
+    state = None
+    for n in range(3):
+        some_tills = tills.where(F.pmod(F.xxhash64("invoice_no"), F.lit(3)) == n)
+        some_lines = retail.where(F.pmod(F.xxhash64("stock_code"), F.lit(3)) == n)
+        state = written(orders_state(some_tills, some_lines, state), "orders-state")
+    return _order_rows(orders_of(state))
+
+
+def _order_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     tills = raw_shaped(
         table(spark, sf_dir, "orders"),
         "pos_transactions",
@@ -89,7 +105,10 @@ def cleansed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         unit_price=F.col("l_extendedprice").cast("decimal(18,2)"),
         customer_id=text("l_suppkey"),
     )
-    orders = cleanse_orders(tills, retail)
+    return tills, retail
+
+
+def _order_rows(orders: DataFrame) -> DataFrame:
     amounts = ("gross_amount", "discount", "tax", "net_amount")
     return orders.withColumns(
         {

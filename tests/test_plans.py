@@ -86,3 +86,9 @@ def test_a_hot_visitor_is_walked_by_slices(spark):
                                     "partition_ts timestamp")
     sessions = dedup_clickstream(web, app).groupBy("session_id").count().collect()
     assert sorted(r["count"] for r in sessions) == [n // 2, n // 2]
+
+
+@pytest.mark.parametrize("name,scans", [("cleansed_orders", 2), ("dedup_clickstream", 4)])
+def test_feeds_are_scanned_no_more_than_needed(spark, name, scans):
+    """Rows with and without a key come from one scan; sessions need a second, narrow one."""
+    assert plan_of(QUERIES[name](spark, SF_DIR)).count("FileScan parquet") == scans

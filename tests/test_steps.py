@@ -2,12 +2,14 @@
 
 import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from harness.tables import raw_shaped
 from millrace.plans.clickstream import clicks_of, clicks_state, dedup_clickstream
+from millrace.plans.orders import cleansed_orders, orders_of, orders_state, unfit_orders, unfit_orders_of
 from millrace.session import written
 
 WEB = "event_ts string, ip string, url string, user_id string, country string, partition_ts timestamp, load int"
@@ -68,3 +70,34 @@ def test_a_load_reaches_only_near_sessions(spark):
     second = clicks_state(web, shaped_app(app.where("load = 1"), context), first)
     sizes = sorted((r["_visitor"], r["session_events"]) for r in second.select("_visitor", "session_start", "session_events").distinct().collect())
     assert sizes == [("u", 1), ("u", 3), ("v", 1), ("v", 1)]
+
+
+TILLS = "txn_id bigint, customer_id string, invoice_no string, txn_ts timestamp, line_count bigint, gross_amount decimal(38,9), load int"
+LINES = "invoice_no string, customer_id string, quantity bigint, invoice_date string, unit_price decimal(38,9), load int"
+
+
+def test_orders_in_any_loads_equal_one(spark):
+    """Invoices and till records cut by load, with amounts whose parts overflow while their sum does not."""
+    rng = random.Random(5)
+    huge = Decimal(10) ** 28 * 9
+    start = datetime(2024, 1, 1)
+    tills = [(rng.choice([1, 2, 3, None]), rng.choice("ab"), "i", start + timedelta(hours=rng.randrange(4)), 1, Decimal(rng.randrange(9)), rng.randrange(3)) for _ in range(60)]
+    lines = [(rng.choice(["x", "y", None]), rng.choice("ab"), rng.choice([1, 3, None]), "2024-01-01 00:00:00", Decimal(rng.randrange(999)) / 100, rng.randrange(3)) for _ in range(150)]
+    lines += [("big", "a", 1, None, sign * huge, load) for sign, load in [(1, 0), (1, 0), (1, 1), (-1, 1), (-1, 2), (-1, 2)]]
+    lines += [("big", "a", 1, None, Decimal("0.000000007"), 2), ("over", "a", 1, None, huge, 0), ("over", "a", 1, None, huge, 2), ("unfit", "a", 99, None, huge, 1), ("unfit", "a", 1, None, Decimal(1), 2)]
+    tills, lines = spark.createDataFrame(tills, TILLS), spark.createDataFrame(lines, LINES)
+
+    def shaped(mine):
+        one = raw_shaped(tills.where(mine), "pos_transactions", **{c: F.col(c) for c in tills.columns if c != "load"})
+        two = raw_shaped(lines.where(mine), "sales_retail", **{c: F.col(c) for c in lines.columns if c != "load"})
+        return one, two
+
+    whole = cleansed_orders(*shaped(F.lit(True)))
+    state = None
+    for n in range(3):
+        state = written(orders_state(*shaped(F.col("load") == n), state), "test-orders")
+    assert rows(orders_of(state)) == rows(whole)
+    amounts = {r["order_id"]: r["gross_amount"] for r in orders_of(state).where("source_feed = 'retail'").collect()}
+    assert amounts["big"] == Decimal("0.000000007") and amounts["over"] is None and amounts["unfit"] is None
+    assert rows(unfit_orders_of(state)) == rows(unfit_orders(*shaped(F.lit(True))))
+    assert unfit_orders_of(state).count() == 2
