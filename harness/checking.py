@@ -213,6 +213,14 @@ def check_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.row_differences(source, target).select("event_id", "event_type", "source_rows", "target_rows")
 
 
+@query(ORACLES["check_differences"])
+def check_differences_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same differences, found by comparing the rows of differing buckets only."""
+    source, target = _copies(spark, sf_dir)
+    found = checks.row_differences_pruned(source, target, "event_type", 256)
+    return found.select("event_id", "event_type", "source_rows", "target_rows")
+
+
 @query(
     """
     SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS key_value, count(*) AS source_rows,

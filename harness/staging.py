@@ -18,9 +18,9 @@ from millrace.plans.fraud import fraud_scored as score
 from millrace.plans.loyalty import parsed_loyalty_events
 from millrace.plans.orders import cleansed_orders as cleanse_orders, orders_of, orders_state
 from millrace.plans.products import cleansed_products as cleanse_products
-from millrace.plans.returns import merged_returns_cdc, returns_state, unkeyed_returns
+from millrace.plans.returns import fold_returns, merged_returns_cdc, read_returns, returns_snapshot, returns_state, unkeyed_returns
 from millrace.plans.warehouse import warehouse_kpi_snapshot
-from millrace.session import written
+from millrace.session import scratch_path, written
 
 QUERIES = {}
 ORACLES = {}
@@ -445,6 +445,17 @@ def merged_cdc_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged(merged_returns_cdc(rest, date(2024, 1, 31), previous=first))
 
 
+@query(MERGED)
+def merged_cdc_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes folded into a state in buckets: the later half, the earlier one, and that once more."""
+    changes = _changes(spark, sf_dir)
+    late = F.col("snapshot_date") >= F.lit("2024-01-20").cast("date")
+    path = scratch_path(spark, "returns-buckets")
+    for part in (late, ~late, ~late):
+        fold_returns(changes.where(part), path, 8)
+    return _merged(returns_snapshot(read_returns(spark, path), date(2024, 1, 31)))
+
+
 @query(
     f"""
     WITH shipped AS (

@@ -18,6 +18,7 @@ from millrace.operators.layout import (
     stored_table,
     write_table,
 )
+from millrace.session import written
 
 
 def _long_form(wide: DataFrame, names: list[str], label: str, measures: list[str]) -> DataFrame:
@@ -215,6 +216,49 @@ def row_differences(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+#: Buckets per key value, and differing buckets up to which their list is sent to all tasks.
+PARTS, FEW = 1024, 100_000
+
+
+def differing_buckets(source: DataFrame, target: DataFrame, key: str, parts: int = PARTS) -> DataFrame:
+    """(_key, _bucket) of the rows of both sides whose counts or content sums differ.
+
+    Rows are dealt to buckets by their content, so equal rows of both sides meet; what is shuffled is a
+    sum per bucket and task, not the rows. Two hashes with different seeds are summed.
+    """
+    sides = []
+    for n, df in ((1, source), (-1, target)):
+        rows = _bucketed(df.select(*source.columns), key, parts)
+        sides.append(rows.select("_key", "_bucket", F.lit(n).alias("_n"), *[(F.col(h) * n).alias(h) for h in ("_h1", "_h2")]))
+    sums = sides[0].unionByName(sides[1]).groupBy("_key", "_bucket").agg(*[F.sum(c).alias(c) for c in ("_n", "_h1", "_h2")])
+    return sums.where((F.col("_n") != 0) | (F.col("_h1") != 0) | (F.col("_h2") != 0)).select("_key", "_bucket")
+
+
+def _bucketed(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """Comparable rows with their key value as text, bucket and hashes; each NULL is hashed with a mark."""
+    flat = comparable(df)
+    marked = [v for c in df.columns for v in (F.col(c).isNull(), F.col(c))]
+    hashes = [F.xxhash64(F.lit(seed), *marked).cast("decimal(20,0)").alias(f"_h{seed}") for seed in (1, 2)]
+    bucket = F.pmod(F.xxhash64(F.lit(3), *marked), F.lit(parts)).alias("_bucket")
+    return flat.select("*", F.col(key).cast("string").alias("_key"), bucket, *hashes)
+
+
+def row_differences_pruned(source: DataFrame, target: DataFrame, key: str, parts: int = PARTS) -> DataFrame:
+    """As ``row_differences``, but only rows of buckets that differ are shuffled.
+
+    Both sides are read twice. The list of differing buckets is written; up to ``FEW`` of them it is sent to all
+    tasks, so that rows of equal buckets go nowhere; beyond that most rows have to be compared anyway.
+    """
+    apart = written(differing_buckets(source, target, key, parts), "differing-buckets")
+    if apart.count() > FEW:
+        return row_differences(source, target)
+    listed = F.broadcast(apart.withColumnsRenamed({"_key": "_k", "_bucket": "_b"}))
+    same = F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_bucket") == F.col("_b"))
+    columns = source.columns
+    kept = [_bucketed(df.select(*columns), key, parts).join(listed, same, "left_semi").select(*columns) for df in (source, target)]
+    return row_differences(*kept)
+
+
 def round_trip_report(spark: SparkSession, df: DataFrame, path: str, contract: Contract) -> DataFrame:
     """Store rows, read them back, and compare both sides per key value."""
     declared = df.select(*contract.names)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from datetime import date, datetime, timezone
 
@@ -107,25 +108,73 @@ def drop_folders(df: DataFrame, named: str | None) -> list[str]:
     return [f"{DROP}={catalog.ExternalCatalogUtils.escapePathName(named)}"]
 
 
+#: In the folder of a load whose rows are all written: the folders that came without rows.
+READY = "_ready.json"
+
+
 def replace_folders(rows: DataFrame, path: str, folders: list[str], came: list[str]) -> list[str]:
     """Write rows below ``path`` by folder columns, and replace the folders of the first column that
-    were written or came. Rows are written aside and then put in place folder by folder. Returns the
-    names of the folders written."""
+    were written or came. Returns the names of the folders written.
+
+    Rows are written aside and marked as ready; then each folder's old files are set aside and the new
+    ones put in their place. A load that stops before the mark has changed nothing; one that stops after it
+    is finished by the next load, or by ``finish_loads``.
+    """
     spark = rows.sparkSession
+    finish_loads(spark, path)
     aside = f"{path.rstrip('/')}/_loading-{uuid.uuid4().hex}"
     rows.write.partitionBy(*folders).parquet(aside)
+    paths, files = _files(spark, aside)
+    done = [f.getName() for f in _value_folders(files, paths(aside))]
+    out = files.create(paths(aside, READY))
+    out.write(bytearray(json.dumps([name for name in came if name not in done]).encode()))
+    out.close()
+    _put_in_place(spark, path, aside)
+    return sorted(done)
+
+
+def finish_loads(spark: SparkSession, path: str) -> None:
+    """Finish loads that stopped while folders were put in place, and drop what others left unfinished."""
+    paths, files = _files(spark, path)
+    if not files.exists(paths(path)):
+        return
+    left = [s.getPath() for s in files.listStatus(paths(path)) if s.getPath().getName().startswith("_loading-")]
+    for aside in sorted(left, key=lambda p: p.getName()):
+        if files.exists(paths(aside, READY)):
+            _put_in_place(spark, path, aside.toString())
+        else:
+            files.delete(aside, True)
+
+
+def _files(spark: SparkSession, path: str):
     paths = spark._jvm.org.apache.hadoop.fs.Path
-    files = paths(aside).getFileSystem(spark._jsc.hadoopConfiguration())
-    done = [s.getPath() for s in files.listStatus(paths(aside)) if s.isDirectory() and "=" in s.getPath().getName()]
-    for name in came:
+    return paths, paths(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _value_folders(files, path) -> list:
+    return [s.getPath() for s in files.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
+
+
+def _put_in_place(spark: SparkSession, path: str, aside: str) -> None:
+    """Swap in the folders that are still aside; each step can be done again after a stop."""
+    paths, files = _files(spark, path)
+    size = files.getFileStatus(paths(aside, READY)).getLen()
+    source = files.open(paths(aside, READY))
+    gone = json.loads(bytes(source.readNBytes(size)).decode())
+    source.close()
+    for name in gone:
         files.delete(paths(path, name), True)
-    for folder in done:
+    for folder in _value_folders(files, paths(aside)):
         target = paths(path, folder.getName())
-        files.delete(target, True)
-        if not files.rename(folder, target):
-            raise OSError(f"{folder} cannot be moved to {target}")
+        if files.exists(target):
+            _move(files, target, paths(aside, f"_old-{uuid.uuid4().hex}"))
+        _move(files, folder, target)
     files.delete(paths(aside), True)
-    return sorted(folder.getName() for folder in done)
+
+
+def _move(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"{source} cannot be moved to {target}")
 
 
 def stored_table(spark: SparkSession, path: str, contract: Contract) -> DataFrame:

@@ -1,15 +1,18 @@
 """Loads in steps, however cut, equal one load."""
 
 import random
-from datetime import datetime, timedelta
+from glob import glob
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from harness.tables import raw_shaped
+from millrace.operators import checks, layout
 from millrace.plans.clickstream import clicks_of, clicks_state, dedup_clickstream
 from millrace.plans.orders import cleansed_orders, orders_of, orders_state, unfit_orders, unfit_orders_of
+from millrace.plans.returns import fold_returns, read_returns, returns_state
 from millrace.session import written
 
 WEB = "event_ts string, ip string, url string, user_id string, country string, partition_ts timestamp, load int"
@@ -101,3 +104,86 @@ def test_orders_in_any_loads_equal_one(spark):
     assert amounts["big"] == Decimal("0.000000007") and amounts["over"] is None and amounts["unfit"] is None
     assert rows(unfit_orders_of(state)) == rows(unfit_orders(*shaped(F.lit(True))))
     assert unfit_orders_of(state).count() == 2
+
+
+CHANGES = "return_id bigint, return_ts timestamp, status string, op string, snapshot_date date"
+
+
+def changes(spark, rng, ids, days):
+    made = [(rng.choice(ids), datetime(2024, 1, 1) + timedelta(hours=rng.randrange(200)), rng.choice("xyz"), rng.choice("IUD"), date(2024, 1, rng.choice(days))) for _ in range(200)]
+    frame = spark.createDataFrame([*made, (None, None, "lost", "U", date(2024, 1, 1))], CHANGES)
+    return raw_shaped(frame, "returns_cdc", **{c: F.col(c) for c in frame.columns})
+
+
+def test_only_buckets_with_changes_are_rewritten(spark, table_path):
+    rng = random.Random(8)
+    loads = [changes(spark, rng, range(500), [1, 2, 3]), changes(spark, rng, [3, 4], [2]), changes(spark, rng, [900], [1, 9])]
+    names, rewritten = [], []
+    for load in loads:
+        rewritten.append(fold_returns(load, table_path, 16))
+        names.append({f for f in glob(f"{table_path}/*/part-*")})
+    state = returns_state(loads[0].unionByName(loads[1]).unionByName(loads[2]))
+    assert rows(read_returns(spark, table_path).drop("_bucket")) == rows(state)
+    assert len(rewritten[0]) == 16 and len(rewritten[1]) <= 2 and len(rewritten[2]) == 1
+    for before, after, touched in zip(names, names[1:], rewritten[1:], strict=False):
+        assert {f for f in before if f.split("/")[-2] not in touched} <= after
+        assert not {f for f in before if f.split("/")[-2] in touched} & after
+    with pytest.raises(ValueError, match="another number"):
+        fold_returns(loads[1], table_path, 8)
+
+
+def test_empty_state(spark, table_path):
+    assert read_returns(spark, table_path).count() == 0
+    assert fold_returns(changes(spark, random.Random(1), [1], [1]).limit(0), table_path) == []
+
+
+@pytest.mark.parametrize("stop", [1, 2, 3, 4])
+def test_a_load_that_stops_while_folders_are_swapped_loses_nothing(spark, table_path, monkeypatch, stop):
+    def frame(text):
+        return spark.createDataFrame([(f"{text}{i}", str(i % 2)) for i in range(20)], "v string, k string")
+
+    layout.replace_folders(frame("old"), table_path, ["k"], [])
+    moves, move = [], layout._move
+
+    def stopping(files, source, target):
+        moves.append(target)
+        if len(moves) == stop:
+            raise OSError("the driver died")
+        move(files, source, target)
+
+    monkeypatch.setattr(layout, "_move", stopping)
+    with pytest.raises(OSError, match="died"):
+        layout.replace_folders(frame("new"), table_path, ["k"], ["k=gone"])
+    monkeypatch.setattr(layout, "_move", move)
+    layout.finish_loads(spark, table_path)
+    assert rows(spark.read.schema("v string, k string").parquet(table_path)) == rows(frame("new"))
+    assert not glob(f"{table_path}/_loading-*")
+
+
+def test_a_load_that_stops_while_writing_changes_nothing(spark, table_path):
+    good = spark.createDataFrame([("a", "1")], "v string, k string")
+    layout.replace_folders(good, table_path, ["k"], [])
+    good.write.partitionBy("k").parquet(f"{table_path}/_loading-half")
+    layout.replace_folders(spark.createDataFrame([("b", "2")], "v string, k string"), table_path, ["k"], [])
+    assert rows(spark.read.schema("v string, k string").parquet(table_path)) == ["Row(v='a', k='1')", "Row(v='b', k='2')"]
+
+
+def test_differences_shuffle_only_damaged_buckets(spark):
+    """Of 20,000 rows, 12 differ: the buckets to compare hold few rows, and the result is that of the whole comparison."""
+    kind = F.when(F.col("id") % 3 > 0, (F.col("id") % 3).cast("string"))
+    source = spark.range(20_000).select("id", kind.alias("k"), F.lit(None).cast("string").alias("none"), F.array(F.col("id")).alias("a"))
+    damage = F.col("id") % 5000
+    target = source.where(damage != 7).withColumn("none", F.when(damage == 9, "x")).unionByName(source.where(damage == 11))
+    apart = checks.differing_buckets(source, target, "k", 1024)
+    assert 0 < apart.count() <= 16
+    found = checks.row_differences_pruned(source, target, "k")
+    assert rows(found) == rows(checks.row_differences(source, target))
+    assert found.count() == 16
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan
+    assert checks.row_differences_pruned(source, source, "k").count() == 0
+    few, checks.FEW = checks.FEW, 3
+    try:
+        assert rows(checks.row_differences_pruned(source, target, "k")) == rows(found)
+    finally:
+        checks.FEW = few
