@@ -174,6 +174,31 @@ def check_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("partition_value", "overlapping", (F.col("files") > 0).alias("has_files"))
 
 
+@query(
+    """
+    WITH files AS (
+      SELECT ts::DATE AS d, min(user_id % 10) FILTER (user_id % 10 <= 4) AS l1, max(user_id % 10) FILTER (user_id % 10 <= 4) AS h1,
+             min(user_id % 10) FILTER (user_id % 10 >= CASE WHEN day(ts) % 2 = 0 THEN 3 ELSE 5 END) AS l2,
+             max(user_id % 10) FILTER (user_id % 10 >= CASE WHEN day(ts) % 2 = 0 THEN 3 ELSE 5 END) AS h2
+      FROM events GROUP BY 1)
+    SELECT strftime(d, '%Y-%m-%d') AS partition_value, (l1 IS NOT NULL)::BIGINT + (l2 IS NOT NULL)::BIGINT AS files,
+           coalesce(CASE WHEN l1 < l2 OR (l1 = l2 AND h1 <= h2) THEN l2 < h1 ELSE l1 < h2 END, false)::BIGINT AS overlapping
+    FROM files
+    """
+)
+def check_clusters_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows are of one country, so only the second cluster column can overlap: on even days the users
+    of a second file begin below the last ones of the first."""
+    contract, path = STAGING["dedup_clickstream"], scratch_path(spark, "check_clusters_two")
+    user = F.col("user_id") % 10
+    rows = table(spark, sf_dir, "events").select("ts", user.alias("u"), F.to_date("ts").alias("event_date"))
+    begin = F.when(F.dayofmonth("ts") % 2 == 0, 3).otherwise(5)
+    for part in (F.col("u") <= 4, F.col("u") >= begin):
+        clicks = shaped(rows.where(part), contract, user_id=text("u"), country_partition=F.lit("DE"), event_date=F.col("event_date"))
+        clicks.coalesce(1).write.mode("append").partitionBy("event_date").parquet(path)
+    return checks.cluster_report(spark, path, contract)
+
+
 def _copies(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A source, and a target that lost the errors of small value and holds the views of great value twice."""
     source = table(spark, sf_dir, "events").select(

@@ -17,9 +17,9 @@ from millrace.plans.customers import TRACKED, cleansed_customers as cleanse_cust
 from millrace.plans.fraud import fraud_scored as score
 from millrace.plans.loyalty import parsed_loyalty_events
 from millrace.plans.orders import cleansed_orders as cleanse_orders, orders_of, orders_state
-from millrace.plans.products import cleansed_products as cleanse_products
+from millrace.plans.products import cleansed_products as cleanse_products, products_of, products_state
 from millrace.plans.returns import fold_returns, merged_returns_cdc, read_returns, returns_snapshot, returns_state, unkeyed_returns
-from millrace.plans.warehouse import warehouse_kpi_snapshot
+from millrace.plans.warehouse import kpi_state, kpis_of, late_kpis, warehouse_kpi_snapshot, with_late
 from millrace.session import scratch_path, written
 
 QUERIES = {}
@@ -253,8 +253,24 @@ def cleansed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cleansed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of one brand and name are versions of one product, the largest being the newest."""
+    return _products(cleanse_products(_catalog(spark, sf_dir), date(2024, 1, 31)))
+
+
+@query(ORACLES["cleansed_products"])
+def products_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feeds in three loads, the newest feed dates first."""
+    feed = _catalog(spark, sf_dir)
+    newer = F.col("feed_date") >= F.lit("2023-01-30").cast("date")
+    odd = F.xxhash64("upc") % 2 != 0
+    state = None
+    for part in (newer, ~newer & odd, ~newer & ~odd):
+        state = written(products_state(feed.where(part), state), "products-state")
+    return _products(products_of(state, date(2024, 1, 31)))
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
-    feed = raw_shaped(
+    return raw_shaped(
         table(spark, sf_dir, "part"),
         "product_catalog_feed",
         sku=F.concat_ws("/", "p_brand", "p_name"),
@@ -267,7 +283,9 @@ def cleansed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         discontinued_at=F.when(size <= 5, F.lit("2024-01-31").cast("date")),
         feed_date=F.date_add(F.lit("2023-01-01").cast("date"), size),
     )
-    cleaned = cleanse_products(feed, date(2024, 1, 31))
+
+
+def _products(cleaned: DataFrame) -> DataFrame:
     return cleaned.select(
         "sku", "upc", "name_norm", "category_norm", "size_norm", money("msrp").alias("msrp"), "available",
         text("load_date").alias("load_date"),
@@ -576,7 +594,22 @@ def fraud_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def kpi_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers are the warehouses, months the hours; lines flagged A are picks."""
+    return _figures(warehouse_kpi_snapshot(*_warehouse_feeds(table(spark, sf_dir, "lineitem")), grain="MONTH"))
+
+
+@query(ORACLES["kpi_snapshot"])
+def kpi_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines, of which a third of the orders come late and a sixth later still, for months long past."""
     lines = table(spark, sf_dir, "lineitem")
+    turn = F.greatest(F.col("l_orderkey") % 6 - 3, F.lit(0))
+    state = written(kpi_state(*_warehouse_feeds(lines.where(turn == 0)), grain="MONTH"), "kpi-state")
+    for n in (1, 2):
+        late = late_kpis(state, *_warehouse_feeds(lines.where(turn == n)), grain="MONTH")
+        state = written(with_late(state, written(late, "kpi-late")), "kpi-state")
+    return _figures(kpis_of(state))
+
+
+def _warehouse_feeds(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     flag = F.col("l_returnflag")
     moves = raw_shaped(
         lines.where(flag != "A"),
@@ -594,7 +627,10 @@ def kpi_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         picked_at=F.col("l_shipdate"),
         duration_ms=F.floor("l_extendedprice"),
     )
-    figures = warehouse_kpi_snapshot(moves, picks, grain="MONTH")
+    return moves, picks
+
+
+def _figures(figures: DataFrame) -> DataFrame:
     return figures.withColumns(
         {
             "snapshot_ts": second_text("snapshot_ts"),

@@ -140,13 +140,14 @@ def key_report(stored: DataFrame, contract: Contract, expected: Column | None =
 
 
 def cluster_report(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """Per stored partition: files, and files whose range of the first cluster column overlaps an
-    earlier file's. Files touching in one value are not counted; a hot value may fill several."""
-    part, lead = partition_column(contract.key), contract.cluster[0]
+    """Per stored partition: files, and files whose range of the cluster columns overlaps an earlier
+    file's. The columns are compared in their order, so files of one value in the first may be told apart
+    by the next. Files touching in one value of all are not counted; a hot value may fill several."""
+    part, ordered = partition_column(contract.key), F.struct(*contract.cluster)
     files = (
         stored_table(spark, path, contract)
         .groupBy(F.col(part).alias("_part"), F.col("_metadata.file_path").alias("_file"))
-        .agg(F.min(lead).alias("_low"), F.max(lead).alias("_high"))
+        .agg(F.min(ordered).alias("_low"), F.max(ordered).alias("_high"))
     )
     in_order = Window.partitionBy("_part").orderBy("_low", "_high", "_file")
     reached = F.max("_high").over(in_order.rowsBetween(Window.unboundedPreceding, -1))

@@ -8,6 +8,11 @@ as lines of text and are taken apart by built-in functions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,8 +109,8 @@ def parquet_parts(
     """A drop with the types its files have; casts to declared types come later and list what fails.
 
     A job over the footers merges the schemas. Where types disagree and cannot be merged, files are
-    grouped by schema; then the driver reads the footer of each file of the drop. With ``every``,
-    columns beside the declared ones are read too.
+    grouped by schema: tasks read the footers, and the driver reads one file of each schema. With
+    ``every``, columns beside the declared ones are read too.
     """
     names = set(contract.delivered_columns.fieldNames())
 
@@ -120,11 +125,46 @@ def parquet_parts(
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for row in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").collect():
-        schema = spark.read.options(**options).parquet(row.path).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(row.path)
-    return [read(schema, *files) for schema, files in groups.values()]
+    parts: dict[str, tuple[T.StructType, list[str]]] = {}
+    for row in file_groups(spark, path).collect():
+        schema = spark.read.options(**options).parquet(row["paths"][0]).schema
+        parts.setdefault(schema.json(), (schema, []))[1].extend(row["paths"])
+    return [read(schema, *files) for schema, files in parts.values()]
+
+
+def file_groups(spark: SparkSession, path: str) -> DataFrame:
+    """(footer, paths): the Parquet files below a path by the schema in their footers, which tasks read.
+
+    The tasks open footers with ``pyarrow.fs``: local paths, HDFS, S3 and GCS. A row per schema is returned, in the
+    order of the first paths.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array([footer(p) for p in paths])], names=["path", "footer"])
+
+    each = found.load(path).select("path").mapInArrow(read, "path string, footer string")
+    return each.groupBy("footer").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy(F.col("paths")[0])
+
+
+def footer(path: str) -> str:
+    """The schema of a Parquet file as its footer has it, with the schema that Spark wrote into it."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        files, name = pa.fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        host, _, name = rest.removeprefix("//").partition("/")
+        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+        files, root = pa.fs.FileSystem.from_uri(f"{scheme}://{host}/")
+        name = f"{root.rstrip('/')}/{name}"
+    with files.open_input_file(name) as source:
+        known = pq.ParquetFile(source)
+        own = (known.metadata.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+        columns = [known.schema.column(i) for i in range(len(known.schema))]
+        kinds = [f"{c.path} {c.physical_type} {c.logical_type} {c.length} {c.max_definition_level} {c.max_repetition_level}" for c in columns]
+        return "\n".join([*kinds, own.decode()])
 
 
 def read_pattern_lines(

@@ -232,3 +232,22 @@ def test_landing_does_not_depend_on_session_zone(spark, tmp_path):
         assert rows.select(F.col("partition_ts").cast("string")).first()[0] == "2024-01-30 05:00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_footers_are_read_by_tasks_and_grouped_by_schema(spark, tmp_path):
+    """Forty files of three schemas: one group each, whatever the order of the files."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from millrace.sources import readers
+
+    path = f"{tmp_path}/drop with space"
+    Path(path).mkdir()
+    for n in range(40):
+        columns = [{"sku": ["a"], "quantity": pa.array([n], pa.int64())}, {"sku": ["a"], "quantity": [str(n)]}, {"sku": ["a"], "quantity": [n / 2], "new": [1]}][n % 3]
+        pq.write_table(pa.table(columns), f"{path}/f{n:02}.parquet")
+    groups = readers.file_groups(spark, path).collect()
+    assert sorted(len(g["paths"]) for g in groups) == [13, 13, 14]
+    values = {"year": "2024", "month": "1", "day": "30"}
+    parts = readers.parquet_parts(spark, RAW["inventory_movements"], path, values, every=True)
+    assert sorted((dict(p.dtypes)["quantity"], p.count()) for p in parts) == [("bigint", 14), ("double", 13), ("string", 13)]

@@ -12,7 +12,9 @@ from harness.tables import raw_shaped
 from millrace.operators import checks, layout
 from millrace.plans.clickstream import clicks_of, clicks_state, dedup_clickstream
 from millrace.plans.orders import cleansed_orders, orders_of, orders_state, unfit_orders, unfit_orders_of
+from millrace.plans.products import cleansed_products, products_of, products_state
 from millrace.plans.returns import fold_returns, read_returns, returns_state
+from millrace.plans.warehouse import kpi_state, kpis_of, late_kpis, warehouse_kpi_snapshot, with_late
 from millrace.session import written
 
 WEB = "event_ts string, ip string, url string, user_id string, country string, partition_ts timestamp, load int"
@@ -187,3 +189,61 @@ def test_differences_shuffle_only_damaged_buckets(spark):
         assert rows(checks.row_differences_pruned(source, target, "k")) == rows(found)
     finally:
         checks.FEW = few
+
+
+MOVES = "warehouse_id string, movement_type string, quantity bigint, at timestamp, load int"
+
+
+def warehouse(spark, rng, count):
+    def at():
+        return None if rng.random() < 0.05 else datetime(2024, 1, 1) + timedelta(minutes=rng.randrange(3000))
+
+    rows_of = [(rng.choice(["w", "x", None]), rng.choice(["IN", "OUT", "pick", "pick"]), rng.randrange(1, 9), at(), rng.randrange(4)) for _ in range(count)]
+    frame = spark.createDataFrame(rows_of, MOVES)
+
+    def feeds(mine):
+        moves, picks = frame.where(mine & (F.col("movement_type") != "pick")), frame.where(mine & (F.col("movement_type") == "pick"))
+        duration = F.when(F.col("quantity") % 3 > 0, F.col("quantity") * 1000)
+        return (
+            raw_shaped(moves, "inventory_movements", movement_ts=F.col("at"), **{c: F.col(c) for c in ("warehouse_id", "movement_type", "quantity")}),
+            raw_shaped(picks, "warehouse_picks", picked_at=F.col("at"), duration_ms=duration, **{c: F.col(c) for c in ("warehouse_id", "quantity")}),
+        )
+
+    return feeds
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_movements_in_any_loads_equal_one(spark, seed):
+    feeds = warehouse(spark, random.Random(seed), 150)
+    state = written(kpi_state(*feeds(F.col("load") == 0)), "test-kpi")
+    for n in (1, 2, 3):
+        late = written(late_kpis(state, *feeds(F.col("load") == n)), "test-kpi")
+        state = written(with_late(state, late), "test-kpi")
+    assert rows(kpis_of(state)) == rows(warehouse_kpi_snapshot(*feeds(F.lit(True))))
+
+
+def test_late_movements_change_only_later_hours_of_their_warehouse(spark):
+    start = datetime(2024, 1, 1)
+    made = [(w, "OUT", 5, start + timedelta(hours=h), 0) for w in "wx" for h in range(0, 48, 4)]
+    made += [("w", "OUT", 2, start + timedelta(hours=30), 1), ("x", "IN", 3, start + timedelta(hours=9), 1)]
+    frame = spark.createDataFrame(made, MOVES)
+    none = raw_shaped(frame.where("false"), "warehouse_picks")
+
+    def moves(load):
+        return raw_shaped(frame.where(F.col("load") == load), "inventory_movements", movement_ts=F.col("at"), **{c: F.col(c) for c in ("warehouse_id", "movement_type", "quantity")})
+
+    late = late_kpis(kpi_state(moves(0), none), moves(1), none).collect()
+    hours = {(r["warehouse_id"], int((r["snapshot_ts"] - start).total_seconds() // 3600)): r["backlog_units"] for r in late}
+    assert hours == {("w", 30): -42, ("w", 32): -47, ("w", 36): -52, ("w", 40): -57, ("w", 44): -62, ("x", 9): -15}
+
+
+def test_products_in_any_loads_equal_one(spark):
+    rng = random.Random(9)
+    made = [(rng.choice(["a", "b", "c", None]), rng.choice("uv"), rng.choice(["N", None]), date(2024, 1, rng.randrange(1, 5)), rng.randrange(3)) for _ in range(60)]
+    frame = spark.createDataFrame(made, "sku string, upc string, name string, feed_date date, load int")
+    feed = raw_shaped(frame, "product_catalog_feed", **{c: F.col(c) for c in ("sku", "upc", "name", "feed_date")})
+    part = [raw_shaped(frame.where(F.col("load") == n), "product_catalog_feed", **{c: F.col(c) for c in ("sku", "upc", "name", "feed_date")}) for n in range(3)]
+    state = None
+    for own in part:
+        state = written(products_state(own, state), "test-products")
+    assert rows(products_of(state, date(2024, 1, 4))) == rows(cleansed_products(feed, date(2024, 1, 4)))
