@@ -141,14 +141,15 @@ def addresses_any_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     SELECT event_id AS txn_id, CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN CAST(CAST(value * 1000 AS DECIMAL(38,9)) AS DOUBLE) ELSE 0.25 END AS fraud_score,
-           CASE WHEN event_type IN ('error', 'view') AND (event_type = 'error' OR value * 1000 >= 0.7) THEN 'high' ELSE 'low' END AS risk_band,
+           CASE WHEN event_type = 'error' OR (event_type = 'view' AND value * 1000 >= 0.7) THEN 'high'
+                WHEN event_type = 'view' AND value * 1000 >= 0.3 THEN 'medium' ELSE 'low' END AS risk_band,
            event_type = 'error' AS unfit
-    FROM events WHERE value * 1000 >= 0.7
+    FROM events
     """
 )
 def fraud_out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event is a sale with a signal of its own: errors score without end, views beyond one."""
-    events = table(spark, sf_dir, "events").where(F.col("value") * 1000 >= 0.7)
+    events = table(spark, sf_dir, "events")
     kind = F.col("event_type")
     sales = raw_shaped(events, "pos_transactions", txn_id=F.col("event_id"), customer_id=text("event_id"), txn_ts=F.col("ts"))
     signals = raw_shaped(

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.sessions import MICROS_PER_MINUTE, slice_of
+from millrace.session import written
 
 
 def trailing_summary(
@@ -33,7 +34,8 @@ def trailing_summary(
     """``moments(key, moment)`` and ``events(key, ts, score, codes)`` to
     ``(key, moment, score, codes)``; moments with no event in their span are left out.
 
-    ``codes`` comes out as a sorted array of distinct values.
+    ``codes`` comes out as a sorted array of distinct values. The distinct moments and the events, reduced
+    to a score per moment and to codes per slice, are written to the shared scratch folder first.
     """
     if span_minutes % slice_minutes:
         raise ValueError("the span must be a whole number of slices")
@@ -48,9 +50,11 @@ def trailing_summary(
     signals = events.where(F.col("key").isNotNull() & F.col("ts").isNotNull()).select(
         "key", F.unix_micros("ts").alias("at"), "score", "codes"
     )
-    asked = probes.select("key", "at", slice_of(F.col("at"), width).alias("slice"))
-    scores = _scores(asked, signals, span, width)
-    codes = _codes(asked, signals, span, width)
+    # Each is read by several of the branches below, none of which reads a feed again.
+    asked = written(probes.select("key", "at", slice_of(F.col("at"), width).alias("slice")), "trailing-asked")
+    highest = written(signals.groupBy("key", "at").agg(F.max("score").alias("score")), "trailing-scores")
+    scores = _scores(asked, highest, span, width)
+    codes = _codes(asked, written(_spells(signals, width), "trailing-codes"), span, width)
     none = F.array().cast("array<string>")
     summary = (
         scores.withColumn("codes", none)
@@ -76,15 +80,19 @@ def _scores(asked: DataFrame, signals: DataFrame, span: int, width: int) -> Data
     return ends.unionByName(between)
 
 
-def _codes(asked: DataFrame, signals: DataFrame, span: int, width: int) -> DataFrame:
-    """(key, at, codes) of the moments with a code; up to three rows each."""
-    count = span // width
-    found = (
+def _spells(signals: DataFrame, width: int) -> DataFrame:
+    """(key, slice, code, first, last): when each code was first and last in a slice."""
+    return (
         signals.select("key", "at", F.explode("codes").alias("code"))
         .where(F.col("code").isNotNull())
         .groupBy("key", slice_of(F.col("at"), width).alias("slice"), "code")
         .agg(F.min("at").alias("first"), F.max("at").alias("last"))
     )
+
+
+def _codes(asked: DataFrame, found: DataFrame, span: int, width: int) -> DataFrame:
+    """(key, at, codes) of the moments with a code; up to three rows each."""
+    count = span // width
     near = asked.join(found, ["key", "slice"]).where(F.col("first") <= F.col("at"))
     start = F.col("at") - F.lit(span).cast("bigint")
     begun = asked.select("key", "at", (F.col("slice") - count).alias("slice"))

@@ -92,3 +92,10 @@ def test_a_hot_visitor_is_walked_by_slices(spark):
 def test_feeds_are_scanned_no_more_than_needed(spark, name, scans):
     """Rows with and without a key come from one scan; sessions need a second, narrow one."""
     assert plan_of(QUERIES[name](spark, SF_DIR)).count("FileScan parquet") == scans
+
+
+def test_fraud_scoring_reads_each_feed_twice(spark):
+    """Sales for the moments asked and for the result, signals for scores and for codes; the plan that is
+    left reads the sales once and otherwise the reduced tables."""
+    plan = plan_of(QUERIES["fraud_scored"](spark, SF_DIR))
+    assert plan.count("events.parquet") == 1 and "trailing-scores" in plan
