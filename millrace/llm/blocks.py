@@ -36,13 +36,21 @@ HIDDEN = 24
 PAGES, EPOCHS, BATCH, RATE, SEED = 3000, 6, 16, 0.006, 3
 CHUNK_BLOCKS = 40_000
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+#: Comments, declarations and tags. A quote opens a value only after an equals sign; what was read of a tag is never
+#: read again, so a tag that nothing closes costs one pass to the end of the page.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?>[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)",
+    re.S,
+)
 NAMES = re.compile(r"\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"\w+")
 SPACE = re.compile(r"\s+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN_ELEMENTS = frozenset("script style noscript template iframe svg object textarea head title".split())
 RAW = frozenset("script style textarea title".split())
+#: Elements that a head may hold; any other, or text, ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head".split())
 INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rt s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -70,7 +78,7 @@ def split_names(attributes: str) -> list[str]:
     found = []
     for match in NAMES.finditer(attributes):
         found += [p for p in re.split(r"[^a-zA-Z]+", next(g for g in match.groups() if g is not None).lower()) if p]
-    return found[:12]
+    return found
 
 
 def blocks_of(page: str | None) -> list[Block]:
@@ -101,6 +109,8 @@ def blocks_of(page: str | None) -> list[Block]:
 
     def text(part: str) -> None:
         nonlocal linked
+        if stack and stack[-1][0] == "head" and part.strip():
+            pop(len(stack) - 1)
         if part and not hidden:
             part = html.unescape(part)
             held.append(part)
@@ -129,6 +139,8 @@ def blocks_of(page: str | None) -> list[Block]:
                 if name == "p":
                     close()
             continue
+        if stack and stack[-1][0] == "head" and name not in IN_HEAD:
+            pop(len(stack) - 1)
         if name == "br":
             held.append(" ")
             continue

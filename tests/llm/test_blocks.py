@@ -81,3 +81,31 @@ def test_odd_rows(spark, labeller):
     found = blocks.extracted(frame, labeller).collect()
     assert sorted((str(r.page_id), r.text) for r in found) == [("1", ""), ("2", ""), ("3", "Some words of prose here."), ("3", "Some words of prose here."), ("None", "")]
     assert blocks.extracted(frame.limit(0), labeller).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page,texts",
+    [
+        ("<head><title>t</title><p>Text without body</p>", ["Text without body"]),
+        ("<head><meta charset=x><script>s</script>bare text", ["bare text"]),
+        ("<p class=it's>one</p><p>two isn't</p>", ["one", "two isn't"]),
+        ('<p title="a>b">x</p><p title = \'c>d\'>y</p>', ["x", "y"]),
+        ('<p title="never closed>one</p><p>two</p>', ["one", "two"]),
+    ],
+)
+def test_legal_and_broken_tags(page, texts):
+    assert [b[0] for b in blocks.blocks_of(page)] == texts
+
+
+@pytest.mark.parametrize("part,end", [("<a ", '"'), ("<a b=", "'"), ('<a b="', ""), ("<!--", ""), ("<", ""), ("<b = ", ""), ("</", ">")])
+def test_a_megabyte_of_unclosed_tags(part, end):
+    import time
+
+    start = time.perf_counter()
+    blocks.blocks_of(part * (1_000_000 // len(part)) + end)
+    assert time.perf_counter() - start < 6
+
+
+def test_all_name_parts_are_kept():
+    names = [f"c{chr(97 + i)}" for i in range(20)]
+    assert blocks.split_names(f'class="{" ".join(names)}"') == names
