@@ -10,6 +10,9 @@ is more: vectors without structure in many dimensions need so much for a recall
 vectors are compared with the queries that came there, in double precision, and only the nearest of
 each query leave the task.
 
+A leaf of a large table is cut into blocks by a hash of the vector, and a question goes to all blocks of its
+leaf, so that what stands in one task does not grow with the table.
+
 Equal vectors are indexed once with as many of their smallest ids as a query can use, which loses
 nothing: no query returns more of them. So a hot vector does not make a hot leaf.
 
@@ -37,6 +40,8 @@ SAMPLE = 20_000
 SEARCH = 4_000
 SHARE = 1.0
 NEAREST = 10
+#: Vectors of a leaf that are compared in one task, about.
+GROUP = 2_000
 SEED = 5
 
 
@@ -89,7 +94,7 @@ class Tree:
 class Forest:
     def __init__(self, sample: np.ndarray, trees: int = TREES, leaf: int = LEAF, seed: int = SEED):
         rng = np.random.default_rng(seed)
-        self.size = len(sample)
+        self.size, self.width = sample.shape
         self.trees = [Tree(sample, leaf, rng) for _ in range(trees)] if len(sample) else []
 
     def search(self, query: np.ndarray, enough: int) -> list[tuple[int, int]]:
@@ -160,9 +165,7 @@ def nearest(
     enough = max(search, int(share * forest.size * len(forest.trees) / TREES))
     asked = frame.where(queries).select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{vector}`").cast(kind).alias("vec"))
     asked = asked.where(F.col("id").isNotNull() & usable(F.col("vec"))).distinct()
-    size = len(forest.trees[0].planes[0]) if len(forest.trees[0].planes) else None
-    if size:
-        asked = asked.where(F.size("vec") == size)
+    asked = asked.where(F.size("vec") == forest.width)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = shared.value.trees
@@ -208,7 +211,12 @@ def nearest(
 
     dealt = vectors.select("vec", "ids").mapInArrow(deal, f"tree int, leaf int, vec {kind}, ids array<bigint>")
     asking = asked.mapInArrow(ask, f"tree int, leaf int, query_id bigint, query {kind}")
-    found = dealt.groupBy("tree", "leaf").cogroup(asking.groupBy("tree", "leaf")).applyInArrow(rank, "query_id bigint, vec_id bigint, score double")
+    # The trees have a fixed number of leaves, so what lies in one grows with the table and is cut into blocks.
+    blocks = max(1, -(-vectors.count() // (GROUP * min(len(t.sizes) for t in forest.trees))))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("vec"), F.lit(blocks)))
+    asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    group = ("tree", "leaf", "block")
+    found = dealt.groupBy(*group).cogroup(asking.groupBy(*group)).applyInArrow(rank, "query_id bigint, vec_id bigint, score double")
     single = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = single.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

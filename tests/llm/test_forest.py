@@ -41,3 +41,17 @@ def test_a_hot_vector_keeps_the_smallest_ids(spark):
     frame = spark.range(3000).select(F.col("id").alias("vec_id"), F.when(F.col("id") % 3 > 0, F.array(F.lit(1.0), F.lit(1.0))).otherwise(F.array(F.rand(1), F.rand(2))).alias("embedding"))
     found = forest.nearest(frame, F.col("vec_id") == 100).orderBy("rank").collect()
     assert [r.vec_id for r in found] == [1, 2, 4, 5, 7, 8, 10, 11, 13, 14] and {r.score for r in found} == {0.0}
+
+
+def test_a_query_of_another_length_takes_no_part_in_a_small_table(spark):
+    rows = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 3.0]), (2, [2.0, 2.0]), (100, [1.0])], "vec_id long, embedding array<double>")
+    found = forest.nearest(rows, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in found] == [(0, 1), (0, 2)]
+
+
+def test_leaves_in_blocks_give_the_same_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 8)))], "vec_id long, embedding array<double>")
+    whole = sorted(map(tuple, forest.nearest(rows, F.col("vec_id") % 100 == 0).collect()))
+    monkeypatch.setattr(forest, "GROUP", 10)
+    assert sorted(map(tuple, forest.nearest(rows, F.col("vec_id") % 100 == 0).collect())) == whole
