@@ -10,7 +10,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
 
@@ -48,6 +49,17 @@ def given_back() -> None:
         trim(0)
 
 
+def orderable(frame: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of a frame as something that rows can be ordered by: maps and semi-structured values as text."""
+    out = []
+    for f in frame.schema.fields:
+        if f.name not in without:
+            kind = f.dataType.simpleString()
+            column = F.col(f"`{f.name}`")
+            out.append(F.to_json(F.struct(column)) if "map<" in kind or "variant" in kind else column)
+    return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts of a slice hold about ``most`` bytes or are one row; at their end,
     freed memory is given back."""

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import codes, fresh, shuffle_partitions, slices, written
+from millrace.llm.common import codes, fresh, orderable, shuffle_partitions, slices, written
 from millrace.llm.components import components
 
 WORDS = 5
@@ -358,6 +358,6 @@ def unique(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     kept = written(kept.distinct(), "jaccard-kept")
     chosen = frame.join(kept, F.col(f"`{key}`").cast("bigint") == F.col(id_), "left_semi")
     place = fresh("place", frame.columns)
-    order = Window.partitionBy(F.col(f"`{key}`")).orderBy(*[F.col(f"`{c}`") for c in frame.columns if c != key])
+    order = Window.partitionBy(F.col(f"`{key}`")).orderBy(*orderable(frame, (key,)))
     single = chosen.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
     return single.unionByName(frame.where(F.col(f"`{key}`").isNull()))

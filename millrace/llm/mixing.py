@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import fresh, slices, written
+from millrace.llm.common import fresh, orderable, slices, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -237,7 +237,7 @@ def mixture(frame: DataFrame, key: str = "doc_id", text: str = "text", source: s
     # Among equal rows it does not matter which is taken once more, so a row takes its share of the
     # total, rounded at its place; only rows that have equals need a place.
     single = joined.where(F.col(f"{size}_n") == 1).withColumn(place, F.lit(1))
-    order = Window.partitionBy(f"`{key}`", f"{size}_source", hashed).orderBy(*[F.col(f"`{c}`") for c in frame.columns if c not in (key, source, text)] or [F.lit(1)])
+    order = Window.partitionBy(f"`{key}`", f"{size}_source", hashed).orderBy(*orderable(frame, (key, source, text)) or [F.lit(1)])
     equal = joined.where(F.col(f"{size}_n") > 1).withColumn(place, F.row_number().over(order))
     both = single.unionByName(equal)
     both = both.withColumn(often, times(F.col(f"{size}_whole"), F.col(f"{size}_more"), F.col(place)))

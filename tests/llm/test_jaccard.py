@@ -87,3 +87,8 @@ def test_components_of_a_long_path(spark):
     links = [(i, i + 1) for i in range(60)] + [(200, 100), (100, 150)]
     found = components(spark.createDataFrame(links, "a long, b long"))
     assert {r.node: r.component for r in found.collect()} == {**{i: 0 for i in range(61)}, 100: 100, 150: 100, 200: 100}
+
+
+def test_map_columns_pass(spark):
+    docs = spark.createDataFrame([(i, "one two three four five six", {"k": i}) for i in (1, 1, 2)], "doc_id long, text string, extra map<string,int>")
+    assert [r["doc_id"] for r in jaccard.unique(docs).collect()] == [1]

@@ -98,3 +98,8 @@ def test_the_mixture_has_the_rows_that_are_taken(spark):
 def test_empty_table(spark):
     _, frame = documents(spark)
     assert mixing.mixed(frame.limit(0)).count() == 0 and mixing.mixture(frame.limit(0)).count() == 0
+
+
+def test_map_columns_pass(spark):
+    docs = spark.createDataFrame([(i // 2, "a b c d", "s", {"k": i % 2}) for i in range(40)], "doc_id long, text string, source string, extra map<string,int>")
+    assert mixing.mixture(docs).columns == docs.columns and mixing.mixture(docs).count() > 0
