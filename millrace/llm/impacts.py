@@ -257,8 +257,9 @@ def top(frame: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
     own = asked.select(F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.col("id").alias("query_id"), "vec")
     stored = shelf.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.col("shard"), F.lit(lanes)).alias("lane"), "*")
     both = own.unionByName(stored, allowMissingColumns=True)
-    parts = min(blocks * lanes, 4 * shuffle_partitions(spark))
-    dealt = both.repartition(parts, F.col("block") * lanes + F.col("lane"))
+    # A partition per block and lane, or several in turn: by hash, some would meet and others stay empty.
+    parts = min(blocks * lanes, max(blocks, 16 * shuffle_partitions(spark)))
+    dealt = both.repartitionById(parts, F.pmod(F.col("block") * lanes + F.col("lane"), F.lit(parts)).cast("int"))
     dealt = dealt.sortWithinPartitions("block", "lane", F.col("shard").asc_nulls_first(), "query_id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
