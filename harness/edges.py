@@ -16,8 +16,8 @@ from millrace.functions.types import NUMERIC
 from millrace.operators import checks
 from millrace.operators.conform import DROP
 from millrace.operators.layout import read_table, write_drops, write_table
-from millrace.plans.addresses import ADDRESS, geocoded_addresses
-from millrace.plans.carriers import normalized_carrier_events
+from millrace.plans.addresses import ADDRESS, geocoded_addresses, unplaced_addresses
+from millrace.plans.carriers import normalized_carrier_events, untimed_shipments
 from millrace.plans.clickstream import dedup_clickstream
 from millrace.plans.fraud import fraud_scored, unfit_scores
 from millrace.plans.load import load_feed, table_path
@@ -138,6 +138,84 @@ def addresses_any_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("addr_city", F.col("confidence").cast("double").alias("confidence"))
 
 
+@query(
+    """
+    WITH address AS (
+      SELECT DISTINCT lower(n_name) AS city, lower(c_mktsegment) AS segment
+      FROM customer JOIN nation ON c_nationkey = n_nationkey),
+    answer AS (
+      SELECT DISTINCT lower(n_name) AS city, CASE WHEN s_acctbal >= 5000 THEN 'building' ELSE 'machinery' END AS segment
+      FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal >= 0)
+    SELECT city, segment, NULL AS provider,
+           CASE WHEN EXISTS (SELECT 1 FROM answer WHERE answer.city = address.city AND answer.segment = address.segment)
+                THEN 'placed' ELSE 'lat,lon' END AS place
+    FROM address
+    UNION ALL
+    SELECT NULL, NULL, s_name, 'raw_addr_hash' FROM supplier WHERE s_acctbal < 0
+    """
+)
+def addresses_unplaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each address is placed or listed, and so are results of suppliers in debt, which name none."""
+    nation = table(spark, sf_dir, "nation")
+    customers = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    suppliers = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    signups = raw_shaped(
+        customers, "customer_signups", customer_id=text("c_custkey"), addr_city=F.col("n_name"), addr_region=F.col("c_mktsegment")
+    )
+    segment = F.when(F.col("s_acctbal") >= 5000, "BUILDING").when(F.col("s_acctbal") >= 0, "MACHINERY")
+    address = {c: F.lit(None).cast("string") for c in ADDRESS} | {"addr_city": F.col("n_name"), "addr_region": segment}
+    candidates = suppliers.select(
+        F.when(segment.isNotNull(), address_hash([address[c] for c in ADDRESS])).alias("raw_addr_hash"),
+        F.lit(1.0).alias("lat"),
+        F.lit(2.0).alias("lon"),
+        F.lit(1).cast(NUMERIC).alias("confidence"),
+        F.col("s_name").alias("provider"),
+    )
+    placed = geocoded_addresses(signups, candidates, date(2024, 2, 1)).select(
+        F.col("addr_city").alias("city"), F.col("addr_region").alias("segment"), F.lit(None).cast("string").alias("provider"), F.lit("placed").alias("place")
+    )
+    listed = unplaced_addresses(signups, candidates).select(
+        F.get_json_object("original", "$.addr_city").alias("city"),
+        F.get_json_object("original", "$.addr_region").alias("segment"),
+        F.get_json_object("original", "$.provider").alias("provider"),
+        F.concat_ws(",", "failed_columns").alias("place"),
+    )
+    return placed.unionByName(listed)
+
+
+@query(
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS tracking_no,
+           CASE WHEN o_orderstatus = 'F' THEN 'delivered_at'
+                WHEN o_orderpriority LIKE '1%' THEN 'shipped_at,delivered_at,estimated_eta'
+                ELSE 'shipped_at,delivered_at,estimated_eta,partition_ts' END AS missing,
+           CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS events
+    FROM orders WHERE o_orderstatus <> 'P'
+    UNION ALL
+    SELECT CAST(o_orderkey AS VARCHAR), NULL, 1 FROM orders WHERE o_orderstatus = 'P'
+    """
+)
+def carrier_untimed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivered without its time; without any time, and lost or with no status; shipped and complete."""
+    status, urgent = F.col("o_orderstatus"), F.col("o_orderpriority").startswith("1")
+    shipments = raw_shaped(
+        table(spark, sf_dir, "orders"),
+        "shipment_tracking",
+        tracking_no=text("o_orderkey"),
+        status=F.when(status == "F", "Complete").when(status == "P", " SHIPPED").when(~urgent, "Lost"),
+        shipped_at=F.when(status != "O", F.col("o_orderdate")),
+        partition_ts=F.when((status != "O") | urgent, F.col("o_orderdate")),
+    )
+    events = normalized_carrier_events(shipments).select("tracking_no", F.lit(None).cast("string").alias("missing"), F.lit(1).alias("events"))
+    listed = untimed_shipments(shipments).select(
+        F.get_json_object("original", "$.tracking_no").alias("tracking_no"),
+        F.concat_ws(",", "failed_columns").alias("missing"),
+        F.lit(0).alias("events"),
+    )
+    both = events.unionByName(listed)
+    return both.groupBy("tracking_no").agg(F.max("missing").alias("missing"), F.sum("events").cast("int").alias("events"))
+
+
 @query(
     """
     SELECT event_id AS txn_id, CASE event_type WHEN 'error' THEN NULL WHEN 'view' THEN CAST(CAST(value * 1000 AS DECIMAL(38,9)) AS DOUBLE) ELSE 0.25 END AS fraud_score,

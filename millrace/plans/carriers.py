@@ -39,7 +39,8 @@ def normalized_carrier_events(
     """Events ``shipped``, ``delivered`` and ``estimated_delivery`` at their times, and the status
     as an event at the time of the drop when it says something else. The last of several parts of
     a location is its country, of three or more the one before it is the region, and the city is all
-    that is left; a single part is a city.
+    that is left; a single part is a city. ``untimed_shipments`` lists rows that lose an event, or
+    all of them, because a time is missing.
 
     The small spelling tables are literals inside the projection, so the job has no shuffle.
     """
@@ -70,6 +71,28 @@ def normalized_carrier_events(
     return dated.select(*STAGING["normalized_carrier_events"].names)
 
 
+def untimed_shipments(shipment_tracking: DataFrame, statuses: dict[str, str] = STATUSES) -> DataFrame:
+    """Shipments that give no event at all, and those whose status gives none because its time is
+    missing, in the form of the quarantine. The failed columns are the times that are missing: all
+    of them for the former, that of the status for the latter."""
+    status = _spelling(F.col("status"), statuses)
+    time_of = {
+        "shipped_at": status == "shipped",
+        "delivered_at": status == "delivered",
+        "estimated_eta": F.lit(False),
+        "partition_ts": ~status.isin("shipped", "delivered"),
+    }
+    dated = F.coalesce("shipped_at", "delivered_at", "estimated_eta").isNotNull()
+    none = ~dated & (F.col("partition_ts").isNull() | ~F.coalesce(time_of["partition_ts"], F.lit(False)))
+    failed = [F.when(F.col(name).isNull() & (none | wanted), F.lit(name)) for name, wanted in time_of.items()]
+    listed = shipment_tracking.withColumn("_failed", F.array_compact(F.array(*failed))).where(F.size("_failed") > 0)
+    return listed.select(
+        F.lit(STAGING["normalized_carrier_events"].table).alias("table_name"),
+        F.col("_failed").alias("failed_columns"),
+        F.to_json(F.struct(*shipment_tracking.columns)).alias("original"),
+    )
+
+
 def _event(event_type: Column, event_ts: Column) -> Column:
     return F.struct(event_type.alias("event_type"), event_ts.alias("event_ts"))
 

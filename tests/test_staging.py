@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from harness.tables import raw_shaped
 from millrace.contracts import RAW, STAGING
 from millrace.functions.text import address_hash
-from millrace.plans.addresses import ADDRESS, geocoded_addresses
-from millrace.plans.carriers import normalized_carrier_events
+from millrace.plans.addresses import ADDRESS, geocoded_addresses, unplaced_addresses
+from millrace.plans.carriers import normalized_carrier_events, untimed_shipments
 from millrace.plans.clickstream import dedup_clickstream
 from millrace.plans.customers import cleansed_customers
 from millrace.plans.fraud import fraud_scored
@@ -157,6 +157,39 @@ def test_customers(spark):
     assert [r.customer_id for r in back.collect()] == ["2"]
 
 
+def test_addresses_are_placed_or_listed(spark):
+    people = [{"customer_id": str(i), "addr_city": city} for i, city in enumerate(["Rome", " rome", "Oslo", None, " "])]
+    candidates = spark.createDataFrame(
+        [(None, 1.0, 2.0, "p"), (None, 1.0, 2.0, "p")], "raw_addr_hash string, lat double, lon double, provider string"
+    ).withColumn("confidence", F.lit(1))
+    rome = address_hash([F.lit("Rome") if c == "addr_city" else F.lit(None).cast("string") for c in ADDRESS])
+    found = candidates.limit(1).withColumn("raw_addr_hash", rome)
+    listed = unplaced_addresses(signups(spark, people), candidates.unionByName(found)).collect()
+    assert sorted((tuple(r.failed_columns), "oslo" in r.original) for r in listed) == [
+        (("lat", "lon"), True),
+        (("raw_addr_hash",), False),
+        (("raw_addr_hash",), False),
+    ]
+    assert unplaced_addresses(signups(spark, people).limit(0), candidates.limit(0)).count() == 0
+
+
+def test_shipments_without_a_time_are_listed(spark):
+    time = "2024-01-30 05:00:00"
+    rows = [
+        {"tracking_no": "a", "status": "shipped", "shipped_at": time},
+        {"tracking_no": "b", "status": "shipped", "estimated_eta": time},
+        {"tracking_no": "c", "status": None},
+        {"tracking_no": "d", "status": "lost", "partition_ts": time},
+        {"tracking_no": "e", "status": "lost", "delivered_at": time},
+        {"tracking_no": "f", "status": " ", "partition_ts": time},
+    ]
+    shipments = rows_as(spark, "shipment_tracking", rows)
+    listed = {r.original.split('"tracking_no":"')[1][0]: r.failed_columns for r in untimed_shipments(shipments).collect()}
+    every = ["shipped_at", "delivered_at", "estimated_eta", "partition_ts"]
+    assert listed == {"b": ["shipped_at"], "c": every, "e": ["partition_ts"], "f": every[:3]}
+    assert {r.tracking_no for r in normalized_carrier_events(shipments).collect()} == {"a", "b", "d", "e"}
+
+
 def test_loyalty(spark):
     good = dict(event_ts_str="2024-01-30 05:00:00", partition_ts=START)
     rows = [
