@@ -7,12 +7,14 @@ and once more with the probability of its fraction. Which documents are taken on
 the cube method: inclusion probabilities move along the null space of the constraints (the number of
 documents and of words taken) until each is 0 or 1, which keeps both totals.
 
-The flight is a tree. Documents are dealt by hash to shards of about ``SHARD`` documents, whatever
-their source; in each shard the flight ends with fewer than three undecided documents per source.
-Those of all shards are dealt anew, to fewer shards, until one is left. There ``ASIDE`` documents of
-various lengths are put aside before the flight, and the landing decides these and the last ones: of
-all possible endings it takes the one whose words, then whose number come nearest. Random directions
-come from hashes, so a mix is the same each time.
+The flight is a tree within each source. The undecided documents of a source are dealt by hash to
+shards of about ``SHARD``; in each the flight ends with fewer than three, and those of all shards of the
+source are dealt anew, to fewer shards, until one is left. A source that fits one shard is landed at
+once: there ``ASIDE`` documents of various lengths are put aside before the flight, and the landing
+decides these and the last ones: of all possible endings it takes the one whose words, then whose number
+come nearest. Sources of one shard share tasks, each whole. So the number of rounds is the logarithm of
+the largest source to the base ``SHARD`` / 2, whatever the number of sources, and no task holds more than
+a shard of a large source. Random directions come from hashes, so a mix is the same each time.
 
 Cases: a null text has no words, and such documents are mixed like others; a source without words has
 the target 0 and gives nothing; a null source is a source of its own. Repeated rows are decided one by
@@ -143,44 +145,52 @@ def landed(chance: np.ndarray, words: np.ndarray, noise: np.ndarray) -> np.ndarr
     return landing(out, words)
 
 
-def flown(frame: DataFrame, shards: int, last: bool) -> DataFrame:
-    """One round: (source, key, size, chance, ...) dealt to shards; chances moved there."""
-    dealt = frame.withColumn("shard", F.pmod(F.xxhash64(F.lit(shards), "key"), F.lit(shards)))
-    names = [*frame.columns, "shard"]
+def flown(frame: DataFrame) -> DataFrame:
+    """One round: rows (shard, last, source, key, size, chance, ...); chances moved within each source
+    of a shard, and landed where ``last``."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pandas()
         rows["source"] = rows["source"].astype(object).where(rows["source"].notna(), None)
         rows["none"] = rows["source"].isna()
         rows = rows.sort_values(["none", "source", "key", "size"], kind="stable").reset_index(drop=True)
-        chance = rows["chance"].to_numpy().copy()
+        chance, last = rows["chance"].to_numpy().copy(), rows["last"].to_numpy()
+        words = rows["size"].to_numpy().astype(float)
+        noise = (rows["key"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(11)) / float(1 << 53)
         start = np.flatnonzero((rows["source"].fillna("").ne(rows["source"].fillna("").shift()) | rows["none"].ne(rows["none"].shift())).to_numpy())
         for a, b in zip(start, [*start[1:], len(rows)], strict=True):
-            words = rows["size"].to_numpy()[a:b].astype(float)
-            noise = (rows["key"].to_numpy()[a:b].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(11)) / float(1 << 53)
-            chance[a:b] = (landed if last else flight)(chance[a:b], words, noise)
+            chance[a:b] = (landed if last[a] else flight)(chance[a:b], words[a:b], noise[a:b])
         rows["chance"] = chance
-        return pa.Table.from_pandas(rows[names], schema=table.schema.remove_metadata(), preserve_index=False)
+        return pa.Table.from_pandas(rows[table.column_names], schema=table.schema.remove_metadata(), preserve_index=False)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
-    return dealt.groupBy("shard").applyInArrow(run, schema).drop("shard")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields)
+    return frame.groupBy("shard").applyInArrow(run, schema)
+
+
+def dealt(units: DataFrame, shard: int) -> tuple[DataFrame, bool]:
+    """Units with shard and last, and whether all sources are in their last round. A source of several
+    shards has them for itself; the others are dealt whole to shards that they share."""
+    counts = written(units.groupBy("source").agg(F.count(F.lit(1)).alias("n")), "mixing-counts")
+    small = F.col("n") <= shard
+    sums = counts.agg(F.sum(F.when(small, F.col("n"))).alias("few"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
+    shared = F.lit(-(-(sums.few or 0) // shard) or 1)
+    own = F.pmod(F.xxhash64(F.lit(SEED + 1), F.col("n"), "key"), F.ceil(F.col("n") / shard))
+    place = F.when(small, F.pmod(F.xxhash64("source"), shared)).otherwise(F.xxhash64("source", own))
+    counts = counts.select(F.col("source").alias("counted"), "n")
+    rows = units.join(counts, F.col("source").eqNullSafe(F.col("counted")))
+    return rows.withColumn("shard", place).withColumn("last", small).drop("counted", "n"), sums.most <= shard
 
 
 def decided(units: DataFrame, shard: int = SHARD) -> DataFrame:
-    """(key, source, size, chance) with every chance moved to 0 or 1."""
-    open_, parts = units, []
-    shards = max(1, -(-units.count() // shard))
-    while True:
-        last = shards == 1
-        moved = written(flown(open_, shards, last), "mixing-round")
-        if last:
-            parts.append(moved)
-            break
-        undecided = (F.col("chance") > NEAR) & (F.col("chance") < 1 - NEAR)
+    """(key, source, size, chance, ...) with every chance moved to 0 or 1. A round leaves at most two
+    units per shard, so shards of eight and more leave fewer each time."""
+    undecided = (F.col("chance") > NEAR) & (F.col("chance") < 1 - NEAR)
+    open_, parts, done = units.where(undecided), [units.where(~undecided)], False
+    while not done:
+        rows, done = dealt(open_, max(8, shard))
+        moved = written(flown(rows), "mixing-round").select(*units.columns)
         parts.append(moved.where(~undecided))
         open_ = moved.where(undecided)
-        left = open_.count()
-        shards = min(-(-left // shard), shards - 1) or 1
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -103,3 +103,59 @@ def test_empty_table(spark):
 def test_map_columns_pass(spark):
     docs = spark.createDataFrame([(i // 2, "a b c d", "s", {"k": i % 2}) for i in range(40)], "doc_id long, text string, source string, extra map<string,int>")
     assert mixing.mixture(docs).columns == docs.columns and mixing.mixture(docs).count() > 0
+
+
+def rounds_of(units, monkeypatch, **more):
+    """The decided units, and the undecided units that each round started with."""
+    sizes, plain = [], mixing.flown
+
+    def counted(frame):
+        sizes.append(frame.count())
+        return plain(frame)
+
+    monkeypatch.setattr(mixing, "flown", counted)
+    rows = mixing.decided(units, **more).collect()
+    return rows, sizes
+
+
+def units_of(spark, counts):
+    """Units of sources, ``counts`` giving how many each has; every third chance is decided already."""
+    rng = np.random.default_rng(3)
+    rows = [
+        (int(k), source, int(rng.integers(1, 60)), [0.4, 0.75, 1.0][k % 3])
+        for k, source in enumerate(s for s, n in counts.items() for _ in range(n))
+    ]
+    return rows, spark.createDataFrame(rows, "key long, source string, size long, chance double")
+
+
+def check_totals(rows, found, near):
+    assert Counter((r.key, r.source, r.size) for r in found) == Counter(r[:3] for r in rows)
+    assert all(min(r.chance, 1 - r.chance) < 1e-6 for r in found)
+    aim, taken = defaultdict(float), defaultdict(float)
+    for _, source, size, chance in rows:
+        aim[source] += size * chance
+    for r in found:
+        taken[r.source] += r.size * round(r.chance)
+    assert all(abs(aim[s] - taken[s]) <= near for s in aim)
+
+
+def test_many_small_sources_take_one_round(spark, monkeypatch):
+    rows, units = units_of(spark, {f"s{i}": 2 for i in range(3_000)} | {None: 2})
+    found, sizes = rounds_of(units, monkeypatch, shard=500)
+    assert len(sizes) == 1
+    check_totals(rows, found, 60)
+
+
+def test_rounds_grow_with_the_logarithm_of_the_largest_source(spark, monkeypatch):
+    rows, units = units_of(spark, {"hot": 6_000, None: 500} | {f"s{i}": 3 for i in range(400)})
+    found, sizes = rounds_of(units, monkeypatch, shard=40)
+    assert len(sizes) <= 4 and all(b <= a / 8 for a, b in zip(sizes, sizes[1:], strict=False))
+    check_totals(rows, found, 60)
+    again, _ = rounds_of(units.repartition(7), monkeypatch, shard=40)
+    assert Counter(map(tuple, found)) == Counter(map(tuple, again))
+
+
+def test_rounds_end_with_the_smallest_shards(spark, monkeypatch):
+    rows, units = units_of(spark, {"a": 90, "b": 1})
+    found, _ = rounds_of(units, monkeypatch, shard=1)
+    check_totals(rows, found, 60)
