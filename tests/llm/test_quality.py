@@ -80,6 +80,47 @@ def test_distances_equal_a_plain_estimate(spark):
     assert np.allclose(np.linalg.inv(cov), inverse, rtol=2e-2, atol=1e-2)
 
 
+def plain_estimate(x, seed):
+    """Centre, inverse and logdet of the best of 60 random starts, each stepped until it stands still."""
+    rng, floor = np.random.default_rng(seed), np.diag(np.array(list(quality.FLOORS.values())) ** 2)
+    inside, best = int(np.ceil(quality.SUBSET * len(x))), None
+    for _ in range(60):
+        part, old = x[rng.choice(len(x), quality.SIZE + 1, replace=False)], np.inf
+        while True:
+            centre, cov = part.mean(axis=0), quality.CONSISTENCY * np.cov(part.T, bias=True) + floor
+            logdet = np.linalg.slogdet(cov)[1]
+            if len(part) == inside and logdet > old - 1e-9:
+                break
+            old = logdet if len(part) == inside else np.inf
+            inverse = np.linalg.inv(cov)
+            part = x[np.argsort(np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre), kind="stable")[:inside]]
+        if best is None or logdet < best[2]:
+            best = centre, np.linalg.inv(cov), logdet
+    return best
+
+
+@pytest.mark.parametrize("bad", [0, 40, 90])
+def test_verdicts_equal_those_of_random_starts(spark, bad):
+    """The estimate is found anew, without the three starts: the determinant is as small, and verdicts agree
+    but for texts close to the limit."""
+    rng = random.Random(17 + bad)
+    rows = [(i, prose(rng, rng.randrange(60, 200)), "en", "s") for i in range(200)]
+    rows += [(1000 + i, " ".join(w + rng.choice(["#", "##", "XX"]) for w in prose(rng, 80).split()), "en", "s") for i in range(bad)]
+    stats = quality.statistics(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), ["doc_id", "lang", "source"])
+    found = quality.judged(stats).withColumn("x", F.array(*quality.vector(F.col("m")))).collect()
+    x = np.array([r.x for r in found])
+    centre, inverse, logdet = plain_estimate(x, bad)
+    fit = quality.fit(stats.select("lang", "source", "m")).first()
+    own = np.zeros((quality.SIZE, quality.SIZE))
+    for value, (i, j) in zip(fit.inverse, quality.PAIRS, strict=True):
+        own[i, j] = own[j, i] = value
+    assert -np.linalg.slogdet(own)[1] <= logdet + 0.1
+    far = np.einsum("ni,ij,nj->n", x - centre, inverse, x - centre)
+    for row, d in zip(found, far, strict=True):
+        assert row.kept == (d <= quality.LIMIT) or abs(d / quality.LIMIT - 1) < 0.2
+    assert {r.doc_id for r in found if r.kept} == set(range(200))
+
+
 @pytest.mark.parametrize("share", [1 / 3, 0.45])
 @pytest.mark.parametrize("tail", ["###", "XX"])
 def test_copies_of_one_bad_text_do_not_form_the_estimate(spark, share, tail):
@@ -93,6 +134,29 @@ def test_copies_of_one_bad_text_do_not_form_the_estimate(spark, share, tail):
     assert {r.doc_id for r in judged if r.kept} == set(range(200))
 
 
+def test_repetition_alone_rejects_and_a_little_of_it_does_not(spark):
+    rng = random.Random(11)
+
+    def lines_of(share, n=200):
+        """One word a line, in an order that repeats lines and no window of three words."""
+        words = list(dict.fromkeys(prose(rng, n * 20).split()))
+        own = [w for w in words if len(w) > 3][: round(n * (1 - share))]
+        return "\n".join(own + rng.sample(own, min(len(own), n - len(own))) + [rng.choice(own) for _ in range(n - 2 * len(own))])
+
+    def words_of(share, n=200):
+        twice = prose(rng, round(n * share / 2))
+        return " ".join([twice, prose(rng, n - 2 * round(n * share / 2)), twice])
+
+    rows = [(i, prose(rng, rng.randrange(60, 200))) for i in range(200)]
+    rows += [(1000, lines_of(0.55)), (1001, words_of(0.49)), (1002, lines_of(0.3)), (1003, words_of(0.3))]
+    frame = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    judged = {r.doc_id: r for r in quality.judged(quality.statistics(frame, ["doc_id", "lang", "source"])).collect()}
+    assert judged[1000].m.n_dup_lines == 110 and judged[1000].m.n_repeat_words == 0
+    assert 90 < judged[1001].m.n_repeat_words <= 100 and judged[1001].m.n_dup_lines == 0
+    assert not any(r.base_failed for r in judged.values())
+    assert {i for i, r in judged.items() if not r.kept} == {1000, 1001}
+
+
 def test_empty_table(spark):
     frame = sample(spark).limit(0)
     assert quality.judged(quality.statistics(frame, ["doc_id", "lang", "source"])).count() == 0
