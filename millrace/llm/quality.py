@@ -283,15 +283,17 @@ def starts(work: DataFrame) -> DataFrame:
 
 
 def concentrated(work: DataFrame, fits: DataFrame) -> DataFrame:
-    """One concentration step of every start."""
+    """One concentration step of every start. The rows meet the estimates twice, where they are read:
+    to count distances, and to sum up those within. No row moves to another task for it."""
     x = [F.col("x")[i] for i in range(SIZE)]
-    far = work.join(fits, "gid").withColumn("d", distance(x, F.col("centre"), F.col("inverse")))
-    far = far.withColumn("bin", F.floor(F.log2(F.greatest(F.col("d"), F.lit(1e-6))) * BINS))
-    counted = far.groupBy("gid", "start", "bin").agg(F.count(F.lit(1)).alias("n"))
+    d = distance(x, F.col("centre"), F.col("inverse"))
+    bin_ = F.floor(F.log2(F.greatest(d, F.lit(1e-6))) * BINS)
+    counted = work.join(fits, "gid").groupBy("gid", "start", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("gid", "start")
     running = counted.withColumn("below", F.sum("n").over(order.orderBy("bin"))).withColumn("all", F.sum("n").over(order))
     cut = running.where(F.col("below") >= SUBSET * F.col("all")).groupBy("gid", "start").agg(F.min("bin").alias("last"))
-    inner = far.join(cut, ["gid", "start"]).where(F.col("bin") <= F.col("last"))
+    cut = written(fits.join(cut, ["gid", "start"]), "mcd-cut")
+    inner = work.join(cut, "gid").where(bin_ <= F.col("last"))
     return fitted(inner.groupBy("gid", "start").agg(*moments(x)))
 
 
