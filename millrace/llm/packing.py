@@ -27,7 +27,7 @@ from millrace.llm.tokens import ID, encoder
 
 WINDOW = 1024
 BUFFER_TOKENS = 6_000_000
-SLICE = 12_000_000
+SLICE = 2_000_000
 COUNTER_BITS = 36
 
 

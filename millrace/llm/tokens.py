@@ -29,7 +29,7 @@ SEPARATED = r"[\x1c-\x1f]"
 #: The pattern by which byte-level tokenizers cut texts before merging (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Cached units of a worker, and the longest unit that is cached; what does not fit is encoded anew.
-MOST_UNITS, LONGEST_UNIT = 600_000, 48
+MOST_UNITS, LONGEST_UNIT = 300_000, 48
 
 END = 0  # closes each document
 ID = np.dtype("<u4")
@@ -105,18 +105,21 @@ class Encoder:
         counts = np.asarray(pc.list_value_length(split), dtype=np.int64)
         begins = np.cumsum(counts) - counts
         coded = split.flatten().dictionary_encode()
-        number = np.asarray(coded.indices, dtype=np.int64) * 2 + 1
+        number = np.asarray(coded.indices, dtype=np.int32) * 2 + 1
         number[begins] -= 1  # the first piece of a text has no space before it
         used, where = unique_small(number, 2 * len(coded.dictionary))
         names = coded.dictionary.to_pylist()
+        del split, coded, number
         blobs = self.units([names[n >> 1] if n % 2 == 0 else f" {names[n >> 1]}" for n in used.tolist()])
         ids = np.frombuffer(b"".join(blobs), dtype=ID)
         lengths = np.array([len(b) for b in blobs], dtype=np.int64) // ID.itemsize
         starts = np.cumsum(lengths) - lengths
         piece = lengths[where]
         ends = np.cumsum(piece)
-        at = np.arange(int(ends[-1])) + np.repeat(starts[where] - (ends - piece), piece)
+        at = np.repeat(starts[where] - (ends - piece), piece)
+        at += np.arange(len(at))
         flat = ids[at]
+        del at
         bounds = np.append((ends - piece)[begins], len(flat))
         out = []
         for i in range(len(texts)):

@@ -108,3 +108,11 @@ def test_empty_table(spark):
     _, frame = documents(spark)
     assert packing.pieces(frame.limit(0), PATH).count() == 0
     assert matrices.unpacked(matrices.rows(frame.limit(0), PATH)).count() == 0
+
+
+def test_a_buffer_ends_soon_after_it_is_full():
+    texts = pa.array(["q7" * 250_000] * 20)  # each character is a token
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), texts], ["doc_id", "text"])
+    sizes = [sum(map(len, ids)) for _, ids in packing.buffers(iter([batch]), PATH)]
+    assert sum(sizes) == 20 * 500_001
+    assert max(sizes) <= packing.BUFFER_TOKENS + 2_500_000
