@@ -10,7 +10,7 @@ from harness.storing import events_as_app
 from harness.tables import raw_shaped, second_text, shaped, table, text
 from millrace.contracts import RAW, STAGING
 from millrace.operators import checks
-from millrace.operators.layout import stored_table, write_table
+from millrace.operators.layout import files_kept_open, stored_table, write_table
 from millrace.session import scratch_path
 from millrace.sources.landing import land_frame
 from millrace.sources.readers import read_feed
@@ -195,7 +195,9 @@ def check_clusters_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     begin = F.when(F.dayofmonth("ts") % 2 == 0, 3).otherwise(5)
     for part in (F.col("u") <= 4, F.col("u") >= begin):
         clicks = shaped(rows.where(part), contract, user_id=text("u"), country_partition=F.lit("DE"), event_date=F.col("event_date"))
-        clicks.coalesce(1).write.mode("append").partitionBy("event_date").parquet(path)
+        # One task holds a day, so that the day gets one file; days are dealt to different tasks.
+        with files_kept_open(spark):
+            clicks.repartition("event_date").write.mode("append").partitionBy("event_date").parquet(path)
     return checks.cluster_report(spark, path, contract)
 
 
