@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,9 +53,15 @@ def billionths(value: Column) -> Column:
     return F.try_add(F.try_multiply(whole, F.lit(UNIT).cast("decimal(10,0)")).cast("decimal(38,0)"), part).cast("decimal(38,0)")
 
 
-def from_billionths(number: Column) -> Column:
-    """The DECIMAL(38,9) of a whole number of billionths; it is put together as text."""
-    digits = F.lpad(F.abs(number).cast("string"), 38, "0")
-    sign = F.when(number < 0, "-").otherwise("")
+def with_decimal(frame: DataFrame, name: str, number: Column) -> DataFrame:
+    """The frame with the DECIMAL(38,9) of a whole number of billionths as a column.
+
+    It is put together as text. What is used more than once on the way is a column of its own: Spark
+    computes such a column once a row, while a nested expression is computed wherever it stands.
+    """
+    counted, digits = f"{name}_billionths", f"{name}_digits"
+    frame = frame.withColumn(counted, number)
+    frame = frame.withColumn(digits, F.lpad(F.abs(counted).cast("string"), 38, "0"))
+    sign = F.when(F.col(counted) < 0, "-").otherwise("")
     text = F.concat(sign, F.substring(digits, 1, 38 - SCALE), F.lit("."), F.substring(digits, 39 - SCALE, SCALE))
-    return text.try_cast("decimal(38,9)")
+    return frame.withColumn(name, text.try_cast("decimal(38,9)")).drop(counted, digits)

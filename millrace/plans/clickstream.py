@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.contracts import STAGING
 from millrace.functions.keys import parse_timestamp
-from millrace.functions.numbers import UNIT, from_billionths
+from millrace.functions.numbers import UNIT, with_decimal
 from millrace.operators.latest import first_per_key, has_key, total_order
 from millrace.operators.sessions import MICROS_PER_MINUTE, session_slices, slice_number
 from millrace.session import written
@@ -71,7 +71,7 @@ def clicks_of(state: DataFrame) -> DataFrame:
     """The declared table of a state."""
     made_id = F.concat_ws("-", "_visitor", F.col("session_start").cast("string"))
     country = F.coalesce(F.upper("country"), F.lit("ZZ"))
-    return state.select(
+    return _with_bot_score(state).select(
         F.coalesce(F.col("_given"), F.when(F.col("session_start").isNotNull(), made_id)).alias("session_id"),
         "user_id",
         "event_ts",
@@ -79,7 +79,7 @@ def clicks_of(state: DataFrame) -> DataFrame:
         "referrer_url",
         "ip",
         "country",
-        _bot_score().alias("bot_score"),
+        "bot_score",
         "device_type",
         country.alias("country_partition"),
         F.coalesce(F.to_date("event_ts"), F.to_date("_loaded")).alias("event_date"),
@@ -157,18 +157,22 @@ def _reached(previous: DataFrame, events: DataFrame, gap_minutes: int, slice_min
     return near.select(*visitor, F.col("_old").alias(start)).unionByName(repeated.select(*visitor, start)).distinct()
 
 
-def _bot_score() -> Column:
+def _with_bot_score(state: DataFrame) -> DataFrame:
     """Events per minute; a session counts as a minute at least.
 
     The whole part and the billionths are divided apart, since a decimal quotient is rounded to six
     decimals.
     """
-    lasted = F.greatest(F.col("session_end") - F.col("session_start"), F.lit(MICROS_PER_MINUTE)).cast("decimal(20,0)")
-    events = F.col("session_events").cast("decimal(20,0)") * F.lit(MICROS_PER_MINUTE).cast("decimal(8,0)")
+    lasted, events = F.col("_lasted"), F.col("_events")
+    of_session = {
+        "_lasted": F.greatest(F.col("session_end") - F.col("session_start"), F.lit(MICROS_PER_MINUTE)).cast("decimal(20,0)"),
+        "_events": F.col("session_events").cast("decimal(20,0)") * F.lit(MICROS_PER_MINUTE).cast("decimal(8,0)"),
+    }
     whole = F.call_function("div", events, lasted).cast("decimal(20,0)")
     rest = F.call_function("div", (events % lasted) * F.lit(UNIT).cast("decimal(10,0)"), lasted).cast("decimal(10,0)")
-    score = from_billionths((whole * F.lit(UNIT).cast("decimal(10,0)") + rest).cast("decimal(38,0)"))
-    return F.when(F.col("session_events").isNotNull(), score)
+    score = (whole * F.lit(UNIT).cast("decimal(10,0)") + rest).cast("decimal(38,0)")
+    scored = F.when(F.col("session_events").isNotNull(), score)
+    return with_decimal(state.withColumns(of_session), "bot_score", scored).drop(*of_session)
 
 
 def _event(**columns: Column) -> list[Column]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.contracts import STAGING
 from millrace.functions.keys import parse_timestamp
-from millrace.functions.numbers import billionths, from_billionths
+from millrace.functions.numbers import billionths, with_decimal
 from millrace.functions.types import NUMERIC
 from millrace.operators.latest import latest_per_key
 
@@ -88,24 +88,26 @@ def unfit_orders_of(state: DataFrame) -> DataFrame:
 def _orders(state: DataFrame) -> DataFrame:
     retail = F.col("source_feed") == "retail"
     # A line that does not fit leaves its invoice without an amount.
-    total = F.when((F.col("unfit") == 0) & (F.col("given") > 0), _whole(F.col("high"), F.col("low")))
+    total = F.when((F.col("unfit") == 0) & (F.col("given") > 0), F.col("_total"))
     zero = F.lit(0).cast("decimal(38,0)")
-    both = state.withColumns(
+    both = with_decimal(_with_total(state), "_gross", total).withColumns(
         {
             "order_id": F.when(retail, F.col("invoice_no")).otherwise(F.col("order_id")),
-            "gross_amount": F.when(retail, from_billionths(total)).otherwise(F.col("gross_amount")),
+            "gross_amount": F.when(retail, F.col("_gross")).otherwise(F.col("gross_amount")),
             "discount": F.when(retail, F.lit(0).cast(NUMERIC)).otherwise(F.col("discount")),
             "tax": F.when(retail, F.lit(0).cast(NUMERIC)).otherwise(F.col("tax")),
         }
     )
     discount, tax = (F.coalesce(billionths(F.col(c)), zero) for c in ("discount", "tax"))
     less = F.try_subtract(billionths(F.col("gross_amount")), discount).cast("decimal(38,0)")
-    net = from_billionths(F.try_add(less, tax).cast("decimal(38,0)"))
-    orders = both.withColumn("net_amount", net).withColumn("order_date", F.to_date("txn_ts"))
+    net = F.try_add(less, tax).cast("decimal(38,0)")
+    orders = with_decimal(both, "net_amount", net).withColumn("order_date", F.to_date("txn_ts"))
     gross_lost = retail & (F.col("unfit") + F.col("given") > 0) & F.col("gross_amount").isNull()
     net_lost = F.col("gross_amount").isNotNull() & F.col("net_amount").isNull()
-    failed = [F.when(gross_lost, "gross_amount"), F.when(net_lost, "net_amount")]
-    return orders.withColumn("_failed", F.array_compact(F.array(*failed)))
+    failed = F.array_compact(F.array(F.when(gross_lost, "gross_amount"), F.when(net_lost, "net_amount")))
+    # The number, which is always given, keeps filters on the list above these steps: below them they would
+    # compute all amounts once more, in nested expressions.
+    return orders.withColumn("_failed", F.when(F.monotonically_increasing_id() >= 0, failed))
 
 
 def _own_number(key: str) -> Column:
@@ -181,18 +183,22 @@ def _invoices(lines: DataFrame) -> DataFrame:
     )
 
 
-def _whole(high: Column, low: Column) -> Column:
-    """The sum of both parts, NULL where it does not fit 38 digits.
+def _with_total(sums: DataFrame) -> DataFrame:
+    """The sum of both parts as ``_total``, NULL where it does not fit 38 digits.
 
     The low sum is carried first and both parts are brought to one sign, so that nothing on the way is
-    larger than the sum.
+    larger than the sum. Steps are columns, so that each is computed once a row.
     """
     part = F.lit(str(PART)).cast("decimal(21,0)")
-    carried = (high + F.call_function("div", low, part).cast("decimal(38,0)")).cast("decimal(38,0)")
-    rest = low % part
-    borrowed = F.when((carried > 0) & (rest < 0), 1).when((carried < 0) & (rest > 0), -1).otherwise(0).cast("decimal(1,0)")
+    high, low, carried, rest, borrowed = (F.col(c) for c in ("high", "low", "_carried", "_rest", "_borrowed"))
+    sums = sums.withColumns(
+        {"_carried": (high + F.call_function("div", low, part).cast("decimal(38,0)")).cast("decimal(38,0)"), "_rest": low % part}
+    )
+    borrow = F.when((carried > 0) & (rest < 0), 1).when((carried < 0) & (rest > 0), -1).otherwise(0)
+    sums = sums.withColumn("_borrowed", borrow.cast("decimal(1,0)"))
     above = F.try_multiply((carried - borrowed).cast("decimal(38,0)"), part).cast("decimal(38,0)")
-    return F.try_add(above, (rest + borrowed * part).cast("decimal(38,0)")).cast("decimal(38,0)")
+    total = F.try_add(above, (rest + borrowed * part).cast("decimal(38,0)")).cast("decimal(38,0)")
+    return sums.withColumn("_total", total).drop("_carried", "_rest", "_borrowed")
 
 
 def _line_amount(quantity: Column, unit_price: Column) -> Column:
