@@ -21,10 +21,10 @@ from millrace.plans.carriers import normalized_carrier_events, untimed_shipments
 from millrace.plans.clickstream import dedup_clickstream
 from millrace.plans.fraud import fraud_scored, unfit_scores
 from millrace.plans.load import load_feed, table_path
-from millrace.plans.orders import cleansed_orders, unfit_orders
+from millrace.plans.orders import cleansed_orders, orders_of, orders_state, unfit_orders_of
 from millrace.plans.returns import returns_snapshot, returns_state, unkeyed_returns
 from millrace.plans.warehouse import closing_backlog, warehouse_kpi_snapshot
-from millrace.session import scratch_path
+from millrace.session import scratch_path, written
 from millrace.sources.landing import land
 from millrace.sources.readers import parquet_parts
 
@@ -73,9 +73,10 @@ def orders_wide_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         tax_amount=F.when(F.col("o_orderstatus") == "P", F.lit(1).cast(NUMERIC)),
     )
     said = [F.get_json_object("original", f"$.{c}").alias(f"_{c}") for c in ("order_id", "source_feed")]
-    unfit = unfit_orders(tills, lines).select(*said)
+    state = written(orders_state(tills, lines), "orders-wide")
+    unfit = unfit_orders_of(state).select(*said)
     same = (F.col("order_id") == F.col("_order_id")) & (F.col("source_feed") == F.col("_source_feed"))
-    orders = cleansed_orders(tills, lines).join(unfit, same, "left")
+    orders = orders_of(state).join(unfit, same, "left")
     name = F.when(F.col("source_feed") == "pos", F.concat(F.lit("wide "), "order_id")).otherwise(F.col("order_id"))
     return orders.select(name.alias("order_id"), text("net_amount").alias("net_amount"), F.col("_order_id").isNotNull().alias("unfit"))
 
